@@ -93,11 +93,11 @@ def basketball_games(
     With ``recency`` only the latest row of each side is paired (one shuffle, no
     multiplying copies); without it every copy pairs with every copy.
     """
-    keep = [recency] if recency else []
+    keep = [F.col(recency).alias("recency")] if recency else []
     log = team_log.select(
         *keep, *[F.col(source).alias(name) for name, source in TEAM_LOG_SOURCES.items()]
     )
-    games = pair_latest(log, recency) if recency else pair_home_away(log)
+    games = pair_latest(log, "recency") if recency else pair_home_away(log)
     return project(
         games,
         schemas.bronze("basketball/games"),

@@ -31,3 +31,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     found = fs.globStatus(hadoop_path)
     return found is not None and len(found) > 0
+
+
+def any_file(spark: SparkSession, folder: str, pattern: str) -> bool:
+    """True if a file below the folder has a name that matches the glob pattern."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(root):
+        return False
+    wanted = jvm.org.apache.hadoop.fs.GlobFilter(pattern)
+    files = fs.listFiles(root, True)
+    while files.hasNext():
+        if wanted.accept(files.next().getPath()):
+            return True
+    return False

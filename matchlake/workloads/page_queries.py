@@ -71,7 +71,9 @@ def _html_player_tables(spark, d):
     rows = page_tables.player_table_rows(pages_with_tables(spark, d))
     typed = page_tables.columns_of(rows, ["page_id", "table_id"], "Player", "Min", "Gls", "SoT")
     players = bronze.soccer_players(typed, season="2024-2025", league="Test League")
-    return players.drop("extract_timestamp")
+    return players.drop("extract_timestamp").withColumn(
+        "match_date", F.col("match_date").cast("date")
+    )
 
 
 def _html_match_links(spark, d):
@@ -155,7 +157,7 @@ ORACLES = {
     "html_all_tables": f"""WITH {_SCHEDULE_SQL}, {_PLAYERS_SQL}
         SELECT * FROM rendered UNION ALL SELECT * FROM player_rows""",
     "html_player_tables": """
-        SELECT '2024-2025' AS season, 'Test League' AS league, CAST(NULL AS TIMESTAMP) AS match_date,
+        SELECT '2024-2025' AS season, 'Test League' AS league, CAST(NULL AS DATE) AS match_date,
                'P' || page_id AS player_name, '' AS team, '' AS opponent, false AS is_home,
                CAST(90 AS DOUBLE) AS minutes, CAST(page_id % 4 AS DOUBLE) AS goals,
                CAST(0 AS DOUBLE) AS assists, CAST(0 AS DOUBLE) AS shots,

@@ -190,7 +190,7 @@ def _latest_sql(columns: dict[str, str], keys: list[str]) -> str:
 def _raw_player_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A player log with the column names of the feed."""
     return fx.table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey AS GAME_ID", "date_format(l_shipdate, 'yyyy-MM-dd') AS GAME_DATE",
+        "CAST(l_orderkey AS STRING) AS GAME_ID", "date_format(l_shipdate, 'yyyy-MM-dd') AS GAME_DATE",
         "l_partkey AS PLAYER_ID", "'Player ' || l_partkey AS PLAYER_NAME",
         "l_suppkey AS TEAM_ID", "'Team ' || l_suppkey AS TEAM_NAME",
         "CASE l_linestatus WHEN 'F' THEN 'LAL vs. BOS' ELSE 'BOS @ LAL' END AS MATCHUP",
@@ -203,8 +203,9 @@ def _raw_player_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _proj_player_log(spark, d):
-    return bronze.basketball_players(_raw_player_log(spark, d), season="2024-25").drop(
-        "extract_timestamp"
+    players = bronze.basketball_players(_raw_player_log(spark, d), season="2024-25")
+    return players.drop("extract_timestamp").withColumn(
+        "game_date", F.col("game_date").cast("date")
     )
 
 
@@ -229,9 +230,8 @@ def _schedule(spark, d):
 
 
 def _proj_schedule(spark, d):
-    return bronze.football_games(_schedule(spark, d), season=F.col("year")).drop(
-        "extract_timestamp"
-    )
+    games = bronze.football_games(_schedule(spark, d), season=F.col("year"))
+    return games.drop("extract_timestamp").withColumn("gameday", F.col("gameday").cast("date"))
 
 
 def _proj_player_week(spark, d):
@@ -464,7 +464,7 @@ ORACLES = {
     "dedupe_first": _dedupe_sql("ASC", "FIRST"),
     "proj_player_log": """
         SELECT '2024-25' AS season, CAST(l_orderkey AS VARCHAR) AS game_id,
-               CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS game_date, l_partkey AS player_id,
+               CAST(l_shipdate AS DATE) AS game_date, l_partkey AS player_id,
                'Player ' || l_partkey AS player_name, l_suppkey AS team_id,
                'Team ' || l_suppkey AS team_name, l_linestatus = 'F' AS is_home,
                l_quantity AS minutes, CAST(l_quantity AS BIGINT) AS points,
@@ -484,7 +484,7 @@ ORACLES = {
         FROM customer""",
     "proj_schedule": f"""WITH {fx.GAMES_SQL}
         SELECT CAST(season AS BIGINT) AS season, CAST(week AS BIGINT) AS week,
-               CAST(game_id AS VARCHAR) AS game_id, CAST(game_date AS TIMESTAMP) AS gameday,
+               CAST(game_id AS VARCHAR) AS game_id, game_date AS gameday,
                CAST(NULL AS VARCHAR) AS gametime, home_team, away_team,
                CAST(home_score AS BIGINT) AS home_score, CAST(away_score AS BIGINT) AS away_score,
                game_id % 6 IN (0, 3) AS overtime, 'REG' AS game_type,
