@@ -73,9 +73,11 @@ def pair_latest(log: DataFrame, recency: str) -> DataFrame:
     one scan and one shuffle, and a game with a million copies never multiplies.
     The log needs an orderable ``recency`` column.
     """
-    # ``recency`` leads the struct, so max() of the struct is the latest row and
+    # The recency leads the struct, so max() of the struct is the latest row and
     # the remaining fields break ties.
-    row = F.struct(recency, "game_date", "team_id", "team_name", "pts")
+    row = F.struct(
+        F.col(recency).alias("recency"), "game_date", "team_id", "team_name", "pts"
+    )
     home = is_home_game(F.col("matchup"))
     paired = log.groupBy("game_id").agg(
         F.max(F.when(home, row)).alias("h"), F.max(F.when(~home, row)).alias("a")
