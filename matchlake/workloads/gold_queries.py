@@ -124,6 +124,12 @@ team_rows AS (
 )"""
 
 
+def _difference(expression: str, digits: int) -> str:
+    """A rounded difference without negative zero, which equals zero but prints apart."""
+    rounded = f"round({expression}, {digits})"
+    return f"CASE WHEN {rounded} = 0 THEN CAST(0 AS DOUBLE) ELSE {rounded} END"
+
+
 def _big(expression: str) -> str:
     return f"CAST({expression} AS BIGINT)"
 
@@ -142,7 +148,7 @@ ORACLES = {
                team, n AS matches_played, w AS wins, d AS draws, l AS losses,
                gf AS goals_for, ga AS goals_against, gf - ga AS goal_difference,
                3 * w + d AS points, round(xf, 2) AS xg_for, round(xa, 2) AS xg_against,
-               round(xf - xa, 2) AS xg_difference
+               {_difference('xf - xa', 2)} AS xg_difference
         FROM sums""",
     "winpct_standings": f"""{_WITH_GAMES} {_GAME_SIDES_SQL},
         sums AS (
@@ -158,7 +164,8 @@ ORACLES = {
                team, team_id, n AS games_played, w AS wins, n - w AS losses,
                round(w / n, 3) AS win_pct, hw AS home_wins, hl AS home_losses,
                aw AS away_wins, al AS away_losses, round(f, 1) AS points_per_game,
-               round(a, 1) AS points_allowed_per_game, round(f - a, 1) AS point_differential
+               round(a, 1) AS points_allowed_per_game,
+               {_difference('f - a', 1)} AS point_differential
         FROM sums""",
     "winpct_standings_ties": f"""{_WITH_GAMES} {_GAME_SIDES_SQL},
         sums AS (
@@ -254,7 +261,7 @@ ORACLES = {
         SELECT team, team_id, max(game_date) AS as_of_date, 10 AS last_n_games,
                count(*) FILTER (won) AS wins, 10 - count(*) FILTER (won) AS losses,
                round(avg(f), 1) AS avg_points_scored, round(avg(a), 1) AS avg_points_allowed,
-               round(avg(f - a), 1) AS avg_point_diff, count(*) AS games_in_window
+               {_difference('avg(f - a)', 1)} AS avg_point_diff, count(*) AS games_in_window
         FROM recent GROUP BY team, team_id""",
     "head_to_head": f"""{_WITH_MATCHES},
         pairs AS (
