@@ -86,18 +86,20 @@ def basketball_games(
     team_log: DataFrame,
     season: str | Column,
     extracted_at: Column | None = None,
-    recency: str | None = None,
+    recency: str = "GAME_DATE",
+    every_copy: bool = False,
 ) -> DataFrame:
     """Pair the two log rows of each game.
 
-    With ``recency`` only the latest row of each side is paired (one shuffle, no
-    multiplying copies); without it every copy pairs with every copy.
+    The latest row of each side is paired: one shuffle, and a game that is in the
+    log a million times still gives one row.  ``every_copy`` pairs each copy with
+    each copy instead; silver keeps one of them, the same as here.
     """
-    keep = [F.col(recency).alias("recency")] if recency else []
+    keep = [] if every_copy else [F.col(recency).alias("recency")]
     log = team_log.select(
         *keep, *[F.col(source).alias(name) for name, source in TEAM_LOG_SOURCES.items()]
     )
-    games = pair_latest(log, "recency") if recency else pair_home_away(log)
+    games = pair_home_away(log) if every_copy else pair_latest(log, "recency")
     return project(
         games,
         schemas.bronze("basketball/games"),

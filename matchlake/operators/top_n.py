@@ -18,22 +18,24 @@ def top_n_per_group(
     keys: Sequence[str],
     order: Sequence[Column],
     n: int,
-    slices: int = 64,
+    slices: int | None = None,
 ) -> DataFrame:
     """The first ``n`` rows of each group under ``order``.
 
     Up to the optimizer's threshold Spark trims every group to ``n`` rows in
     each map task (WindowGroupLimit), so a group with a third of all rows sends
     only ``n`` rows per task to the shuffle.  Beyond the threshold that rule is
-    off; each group is then cut into hash slices that are trimmed separately.
-    A row among the first n of its group is among the first n of its slice, so
-    both ways give the same rows.
+    off; each group is then cut into hash slices (as many as there are shuffle
+    partitions) that are trimmed separately.  A row among the first n of its
+    group is among the first n of its slice, so both ways give the same rows.
     """
-    threshold = int(df.sparkSession.conf.get(_LIMIT_CONF, "1000"))
+    conf = df.sparkSession.conf
+    threshold = int(conf.get(_LIMIT_CONF, "1000"))
     if n > threshold:
         # The partition id keeps full copies of one row from sharing a slice.
         row_hash = F.xxhash64(*_orderable(df)) + F.spark_partition_id()
-        sliced = df.withColumn(_SLICE, F.pmod(row_hash, F.lit(slices)))
+        count = slices or int(conf.get("spark.sql.shuffle.partitions"))
+        sliced = df.withColumn(_SLICE, F.pmod(row_hash, F.lit(count)))
         df = _first_rows(sliced, [*keys, _SLICE], order, n).drop(_SLICE)
     return _first_rows(df, keys, order, n)
 

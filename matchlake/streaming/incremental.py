@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from matchlake.sources.scans import bronze_contract, bronze_path, scan_bronze, silver_path
 
@@ -35,12 +36,13 @@ def refresh_silver(
     target = silver_path(silver_root, sport, dataset)
 
     def update(new_rows: DataFrame, _epoch: int) -> None:
-        # Only the folder column is read here, not the rows.
-        touched = new_rows.select(SEASON).distinct()
+        # Names of season folders, of which the driver holds a listing anyway.  As
+        # literals they prune the folders that are read; a join would not.
+        touched = [row[SEASON] for row in new_rows.select(SEASON).distinct().collect()]
         snapshots = scan_bronze(spark, bronze_root, sport, dataset)
-        rewrite = project(snapshots.join(touched, SEASON, "left_semi"))
         (
-            rewrite.write.mode("overwrite")
+            project(snapshots.where(F.col(SEASON).isin(touched)))
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(SEASON)
             .parquet(target)

@@ -150,15 +150,15 @@ def test_check_rules_and_uniqueness(spark):
 def test_quality_profile(spark):
     nan = float("nan")
     df = spark.createDataFrame(
-        [("a", 1.0), ("a", 1.0), ("a", 1.0), ("b", nan), ("b", None), (None, 2.0)], "k string, x double"
+        [("a", 1.0), ("a", 1.0), ("a", 1.0), ("b", nan), ("b", None), (None, -0.0), (None, 0.0)], "k string, x double"
     )
     profile = {(r.metric, r["column"]): r.value for r in quality.quality_profile(df, "t").collect()}
     assert profile == {
-        ("rows", None): 6.0, ("columns", None): 2.0, ("duplicates", None): 3.0,
-        ("null_pct", "k"): 0.167, ("null_pct", "x"): 0.333,
+        ("rows", None): 7.0, ("columns", None): 2.0, ("duplicates", None): 4.0,
+        ("null_pct", "k"): 0.286, ("null_pct", "x"): 0.286,
     }
     empty = {r.metric: r.value for r in quality.quality_profile(df.where("false"), "t").collect()}
-    assert empty["rows"] == 0.0 and empty["null_pct"] is None
+    assert (empty["rows"], empty["duplicates"], empty["null_pct"]) == (0.0, 0.0, None)
 
 
 def landing(spark, root):
