@@ -10,9 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.functions import derive_result
 from matchlake.operators.pairing import match_sides
-from matchlake.operators.top_n import top_n_per_group
 
 
 # Column types of the given tables; with them no job has to read file footers.
@@ -48,6 +46,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _sql(spark: SparkSession, sf_dir: str, text: str, *tables: str) -> DataFrame:
+    return spark.sql(text, **{name: table(spark, sf_dir, name) for name in tables})
+
+
+_MATCHES = """
+SELECT o_orderkey AS match_id, year(o_orderdate) AS season, r_name AS league,
+       CAST(o_orderdate AS DATE) AS match_date,
+       home.n_nationkey AS home_team_id, home.n_name AS home_team,
+       away.n_nationkey AS away_team_id, away.n_name AS away_team,
+       home_goals, away_goals, l_discount * 10 AS home_xg, l_tax * 10 AS away_xg,
+       CASE WHEN home_goals > away_goals THEN 'H' WHEN home_goals < away_goals THEN 'A'
+            WHEN home_goals = away_goals THEN 'D' END AS result,
+       concat_ws(' ', 'Stadium', home.n_name) AS venue
+FROM (
+    SELECT *, row_number() OVER (
+                  PARTITION BY l_orderkey
+                  ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+                           l_quantity, l_discount, l_tax) AS line
+    FROM {lineitem}
+) lines
+JOIN {orders} ON l_orderkey = o_orderkey
+JOIN {customer} ON o_custkey = c_custkey
+JOIN {supplier} ON l_suppkey = s_suppkey
+JOIN {part} ON l_partkey = p_partkey
+JOIN {nation} home ON c_nationkey = home.n_nationkey
+JOIN {region} ON home.n_regionkey = r_regionkey
+JOIN {nation} away ON s_nationkey = away.n_nationkey,
+LATERAL (SELECT if(o_orderkey % 20 <> 0, CAST(l_quantity AS INT) % 6, NULL) AS home_goals,
+                if(o_orderkey % 20 <> 0 AND o_orderkey % 33 <> 0, p_size % 6, NULL) AS away_goals)
+WHERE line = 1 AND home.n_name <> away.n_name
+"""
+
+
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One match per order whose first line joins two different nations.
 
@@ -56,65 +87,10 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     on orders, not on lines.  No join carries a hint: sizes come from the files
     and AQE, and so does the choice to broadcast.
     """
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-        "l_quantity", "l_discount", "l_tax",
+    return _sql(
+        spark, sf_dir, _MATCHES,
+        "lineitem", "orders", "customer", "supplier", "part", "nation", "region",
     )
-    first_line = top_n_per_group(
-        lines, ["l_orderkey"], [F.col(c).asc_nulls_last() for c in lines.columns[1:]], 1
-    )
-    nations = table(spark, sf_dir, "nation")
-    home_nation = nations.join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    ).select(
-        F.col("n_nationkey").alias("home_team_id"),
-        F.col("n_name").alias("home_team"),
-        F.col("r_name").alias("league"),
-    )
-    away_nation = nations.select(
-        F.col("n_nationkey").alias("away_team_id"), F.col("n_name").alias("away_team")
-    )
-    joined = (
-        first_line.join(
-            table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
-            F.col("l_orderkey") == F.col("o_orderkey"),
-        )
-        .join(
-            table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
-            F.col("o_custkey") == F.col("c_custkey"),
-        )
-        .join(
-            table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"),
-            F.col("l_suppkey") == F.col("s_suppkey"),
-        )
-        .join(
-            table(spark, sf_dir, "part").select("p_partkey", "p_size"),
-            F.col("l_partkey") == F.col("p_partkey"),
-        )
-        .join(home_nation, F.col("c_nationkey") == F.col("home_team_id"))
-        .join(away_nation, F.col("s_nationkey") == F.col("away_team_id"))
-        .where(F.col("home_team") != F.col("away_team"))
-    )
-    key = F.col("o_orderkey")
-    unplayed, half_known = key % 20 == 0, key % 33 == 0
-    home_goals = F.when(~unplayed, F.col("l_quantity").cast("int") % 6)
-    away_goals = F.when(~unplayed & ~half_known, F.col("p_size") % 6)
-    return joined.select(
-        key.alias("match_id"),
-        F.year("o_orderdate").alias("season"),
-        "league",
-        F.col("o_orderdate").cast("date").alias("match_date"),
-        "home_team_id",
-        "home_team",
-        "away_team_id",
-        "away_team",
-        home_goals.alias("home_goals"),
-        away_goals.alias("away_goals"),
-        (F.col("l_discount") * 10).alias("home_xg"),
-        (F.col("l_tax") * 10).alias("away_xg"),
-        derive_result(home_goals, away_goals).alias("result"),
-        F.concat_ws(" ", F.lit("Stadium"), F.col("home_team")).alias("venue"),
-    )
 
 
 MATCHES_SQL = """
@@ -154,20 +130,12 @@ fx_matches AS (
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same fixtures as games with high scores, a week and a winner flag."""
-    return matches(spark, sf_dir).select(
-        F.col("match_id").alias("game_id"),
-        "season",
-        F.weekofyear("match_date").alias("week"),
-        F.col("match_date").alias("game_date"),
-        "home_team_id",
-        "home_team",
-        "away_team_id",
-        "away_team",
-        (F.col("home_goals") + 80).alias("home_score"),
-        (F.col("away_goals") + 80).alias("away_score"),
-        (F.col("home_goals") > F.col("away_goals")).alias("home_win"),
-        (F.col("home_goals") + F.col("away_goals") + 160).alias("total_points"),
-    )
+    return matches(spark, sf_dir).selectExpr(
+        "match_id AS game_id", "season", "weekofyear(match_date) AS week",
+        "match_date AS game_date", "home_team_id", "home_team", "away_team_id", "away_team",
+        "home_goals + 80 AS home_score", "away_goals + 80 AS away_score",
+        "home_goals > away_goals AS home_win", "home_goals + away_goals + 160 AS total_points",
+    )
 
 
 GAMES_SQL = (

@@ -81,28 +81,35 @@ def _html_match_links(spark, d):
     return links.withColumn("link_idx", F.col("link_idx").cast("bigint"))
 
 
-def _html_matches(spark, d):
-    """One page per match, read back into typed matches."""
+_PAGE_HEADERS = ("Date", "Home", "Score", "Away", "Venue")
+
+
+def match_pages(spark, sf_dir):
+    """One schedule page per match; an unplayed match has no score."""
     score = F.concat(F.col("home_goals"), F.lit("–"), F.col("away_goals"))
     cells = [
         F.date_format("match_date", "yyyy-MM-dd"), F.col("home_team"),
         F.coalesce(score, F.lit("")), F.col("away_team"), F.col("venue"),
     ]
-    names = ("Date", "Home", "Score", "Away", "Venue")
-    head = "".join(f"<th>{name}</th>" for name in names)
-    pages = fx.matches(spark, d).select(
+    head = "".join(f"<th>{name}</th>" for name in _PAGE_HEADERS)
+    return fx.matches(spark, sf_dir).select(
         F.col("match_id").alias("page_id"),
+        "league",
         F.concat(
             F.lit(f'<html><table id="sched_all"><thead><tr>{head}</tr></thead><tbody><tr><td>'),
             F.concat_ws("</td><td>", *cells),
             F.lit("</td></tr></tbody></table></html>"),
         ).alias("html"),
     )
-    rows = page_tables.table_rows(pages, page_tables.SCHEDULE_TABLE)
-    texts = page_tables.columns_of(rows, ["page_id"], *names)
-    matches = bronze.soccer_matches(texts, season="all", league="Test League")
+
+
+def _html_matches(spark, d):
+    """Pages of matches read back into typed matches."""
+    rows = page_tables.table_rows(match_pages(spark, d), page_tables.SCHEDULE_TABLE)
+    texts = page_tables.columns_of(rows, ["page_id", "league"], *_PAGE_HEADERS)
+    matches = bronze.soccer_matches(texts, season="all", league=F.col("league"))
     return matches.select(
-        F.col("match_date").cast("date").alias("match_date"), "home_team", "away_team",
+        "league", F.col("match_date").cast("date").alias("match_date"), "home_team", "away_team",
         "home_goals", "away_goals", "venue", "home_xg",
     )
 
@@ -173,7 +180,7 @@ ORACLES = {
                'https://other.example/matches/z' || page_id
         FROM pages WHERE page_id % 4 <> 3""",
     "html_matches": f"""WITH {fx.MATCHES_SQL}
-        SELECT match_date, home_team, away_team, CAST(home_goals AS DOUBLE) AS home_goals,
+        SELECT league, match_date, home_team, away_team, CAST(home_goals AS DOUBLE) AS home_goals,
                CAST(away_goals AS DOUBLE) AS away_goals, venue, CAST(NULL AS DOUBLE) AS home_xg
         FROM fx_matches WHERE home_goals IS NOT NULL AND away_goals IS NOT NULL""",
 }

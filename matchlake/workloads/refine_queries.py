@@ -11,6 +11,7 @@ from matchlake.operators.pairing import is_home_game
 from matchlake.operators.top_n import deduplicate
 from matchlake.sources import aliases
 from matchlake.workloads import fixtures as fx
+from matchlake.workloads import gold_queries as gq
 
 _NBSP = "\u00a0"
 _BLANKS = f" \t{_NBSP}"
@@ -229,6 +230,24 @@ def _schedule(spark, d):
     )
 
 
+def _proj_games(spark, d):
+    """Bronze games out of a team log with the column names of the feed."""
+    log = fx.team_log(spark, d).selectExpr(
+        "CAST(game_id AS STRING) AS GAME_ID", "CAST(game_date AS STRING) AS GAME_DATE",
+        "team_id AS TEAM_ID", "team_name AS TEAM_NAME", "matchup AS MATCHUP", "pts AS PTS",
+    )
+    games = bronze.basketball_games(log, season="all")
+    return games.drop("extract_timestamp").withColumn(
+        "game_date", F.col("game_date").cast("date")
+    )
+
+
+def _proj_team_totals(spark, d):
+    """Bronze season records out of a schedule that mixes seasons."""
+    teams = bronze.football_teams(_schedule(spark, d), season=F.col("year"))
+    return teams.drop("extract_timestamp")
+
+
 def _proj_schedule(spark, d):
     games = bronze.football_games(_schedule(spark, d), season=F.col("year"))
     return games.drop("extract_timestamp").withColumn("gameday", F.col("gameday").cast("date"))
@@ -384,6 +403,8 @@ QUERIES = {
     "dedupe_first": lambda spark, d: _dedupe(spark, d, "first"),
     "proj_player_log": _proj_player_log,
     "proj_optional_cols": _proj_optional_cols,
+    "proj_games": _proj_games,
+    "proj_team_totals": _proj_team_totals,
     "proj_schedule": _proj_schedule,
     "proj_player_week": _proj_player_week,
     "proj_team_season": _proj_team_season,
@@ -493,6 +514,16 @@ ORACLES = {
                CAST(NULL AS DOUBLE) AS spread_line, CAST(NULL AS DOUBLE) AS total_line,
                CAST(home_score - away_score AS BIGINT) AS result
         FROM fx_games""",
+    "proj_games": f"""WITH {fx.GAMES_SQL}
+        SELECT 'all' AS season, CAST(game_id AS VARCHAR) AS game_id, game_date,
+               CAST(home_team_id AS BIGINT) AS home_team_id, home_team AS home_team_name,
+               CAST(away_team_id AS BIGINT) AS away_team_id, away_team AS away_team_name,
+               CAST(home_score AS BIGINT) AS home_score, CAST(away_score AS BIGINT) AS away_score,
+               'Final' AS status
+        FROM fx_games""",
+    "proj_team_totals": gq.ORACLES["team_season_totals"].replace(
+        "SELECT season, team, CAST", "SELECT CAST(season AS BIGINT) AS season, team, CAST"
+    ),
     "proj_player_week": """
         SELECT CAST(2024 AS BIGINT) AS season, CAST(1 + l_linenumber AS BIGINT) AS week,
                CAST(l_partkey AS VARCHAR) AS player_id, 'P.' || l_partkey AS player_name,

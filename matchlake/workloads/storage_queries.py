@@ -20,6 +20,7 @@ from matchlake.sources import aliases, scans
 from matchlake.streaming.incremental import refresh_silver
 from matchlake.workloads import fixtures as fx
 from matchlake.workloads import gold_queries as gq
+from matchlake.workloads import page_queries as pq
 from matchlake.workloads import refine_queries as rq
 
 _ORDER_COLUMNS = """o_orderkey AS game_id, o_orderstatus AS status,
@@ -196,6 +197,22 @@ def _medallion_refresh(spark, d):
     )
 
 
+def _medallion_soccer(spark, d):
+    """From one schedule page per match to the standings view of the catalog."""
+    root, schema = shared_folder(spark, "lake"), _fresh_schema(spark)
+    pages = pq.match_pages(spark, d).withColumn("url", F.lit("u"))
+    pages.write.parquet(f"{root}/landing/soccer/pages/season=all")
+    lake = jobs.Lake(
+        landing=f"{root}/landing", bronze=f"{root}/bronze", silver=f"{root}/silver",
+        schema=schema, seasons={"soccer": ["all"]}, formats={"pages": "parquet"},
+    )
+    jobs.run(spark, lake, sport="soccer")
+    return spark.sql(
+        f"SELECT league, season, rank, team, matches_played, wins, draws, losses, goals_for, "
+        f"goals_against, points, xg_for FROM {schema}.v_soccer_league_standings"
+    )
+
+
 def _gold_rollups(spark, d):
     """The materialised head-to-head table."""
     schema = _fresh_schema(spark)
@@ -246,6 +263,7 @@ QUERIES = {
     ),
     "quality_profile": _quality_profile,
     "medallion_refresh": _medallion_refresh,
+    "medallion_soccer": _medallion_soccer,
     "incremental_refresh": _incremental_refresh,
 }
 
@@ -351,6 +369,25 @@ ORACLES = {
                n AS games_played, w AS wins, n - w AS losses, round(w / n, 3) AS win_pct,
                round(pts, 1) AS points_per_game
         FROM sums""",
+    "medallion_soccer": f"""WITH {fx.MATCHES_SQL},
+        once AS (
+            SELECT * FROM fx_matches WHERE home_goals IS NOT NULL AND away_goals IS NOT NULL
+            QUALIFY row_number() OVER (
+                PARTITION BY match_date, home_team, away_team
+                ORDER BY home_goals DESC, away_goals DESC) = 1),
+        sides AS (
+            SELECT league, home_team AS team, home_goals AS f, away_goals AS a FROM once
+            UNION ALL SELECT league, away_team, away_goals, home_goals FROM once),
+        sums AS (
+            SELECT league, team, count(*) AS n, count(*) FILTER (f > a) AS w,
+                   count(*) FILTER (f = a) AS d, count(*) FILTER (f < a) AS l,
+                   CAST(sum(f) AS BIGINT) AS gf, CAST(sum(a) AS BIGINT) AS ga
+            FROM sides GROUP BY ALL)
+        SELECT league, 'all' AS season, row_number() OVER (
+                   PARTITION BY league ORDER BY 3 * w + d DESC, gf - ga DESC, gf DESC, team) AS rank,
+               team, n AS matches_played, w AS wins, d AS draws, l AS losses, gf AS goals_for,
+               ga AS goals_against, 3 * w + d AS points, CAST(0 AS DOUBLE) AS xg_for
+        FROM sums""",
     "incremental_refresh": f"""{_GAME_BRONZE_SQL}
         SELECT game_id, season, CAST(game_date AS DATE) AS game_date,
                CAST(home_team_id AS BIGINT) AS home_team_id,
