@@ -54,7 +54,7 @@ def project(
             column = derived[field.name]
         else:
             column = optional(df, sources.get(field.name, field.name), field.dataType)
-        return column.try_cast(field.dataType).alias(field.name)
+        return column.try_cast(field.dataType.simpleString()).alias(field.name)
 
     return df.select(*[expression(field) for field in contract])
 

@@ -49,6 +49,14 @@ def _figures(df: DataFrame, names: Collection[str]) -> dict[str, Column]:
     return {name: number_or_zero(number(df, name)) for name in names}
 
 
+def _needed(
+    bronze: DataFrame, table: str, recency: Sequence[str], *sources: str
+) -> DataFrame:
+    """Only the columns that silver is made of, before rows are shuffled or sorted."""
+    wanted = {*schemas.gold(table).names, *recency, *sources}
+    return bronze.select(*[c for c in bronze.columns if c in wanted])
+
+
 def _flag(column: Column) -> Column:
     return F.coalesce(column.try_cast("boolean"), F.lit(False))
 
@@ -57,7 +65,8 @@ def basketball_games(
     bronze: DataFrame, lookup: DataFrame, recency: Sequence[str] = RECENCY
 ) -> DataFrame:
     """One row per game with canonical names, winner and total points."""
-    latest = deduplicate(bronze, ["game_id"], recency)
+    rows = _needed(bronze, "nba_games", recency, "home_team_name", "away_team_name")
+    latest = deduplicate(rows, ["game_id"], recency)
     home, away = number(latest, "home_score"), number(latest, "away_score")
     return project(
         normalize_names(
@@ -105,7 +114,8 @@ def football_games(
     bronze: DataFrame, lookup: DataFrame, recency: Sequence[str] = RECENCY
 ) -> DataFrame:
     """One row per game with week, overtime flag, winner and total points."""
-    latest = deduplicate(bronze, ["game_id"], recency)
+    rows = _needed(bronze, "nfl_games", recency, "gameday")
+    latest = deduplicate(rows, ["game_id"], recency)
     home, away = number(latest, "home_score"), number(latest, "away_score")
     names = normalize_names(
         latest, lookup, "football", {"home_team": "__home", "away_team": "__away"}
@@ -130,7 +140,8 @@ def football_players(
     bronze: DataFrame, lookup: DataFrame, recency: Sequence[str] = RECENCY
 ) -> DataFrame:
     """One row per player, season and week with yards and touchdowns in total."""
-    latest = deduplicate(bronze, ["player_id", "season", "week"], recency)
+    rows = _needed(bronze, "nfl_players", recency, "player_display_name")
+    latest = deduplicate(rows, ["player_id", "season", "week"], recency)
     counts, figures = _counts(latest, FOOTBALL_COUNTS), _figures(latest, FOOTBALL_FIGURES)
     names = normalize_names(latest, lookup, "football", {"team": "__team"})
     return project(
@@ -153,6 +164,7 @@ def soccer_matches(
     bronze: DataFrame, lookup: DataFrame, recency: Sequence[str] = RECENCY
 ) -> DataFrame:
     """One row per match; the id is a hash of season, time and canonical names."""
+    bronze = _needed(bronze, "soccer_matches", recency)
     named = normalize_names(
         bronze, lookup, "soccer", {"home_team": "__home", "away_team": "__away"}
     )

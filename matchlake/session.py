@@ -28,7 +28,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """True if the path, or at least one match of a glob, exists."""
     jvm = spark._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = fs.globStatus(hadoop_path)
     return found is not None and len(found) > 0
 
@@ -37,7 +37,7 @@ def any_file(spark: SparkSession, folder: str, pattern: str) -> bool:
     """True if a file below the folder has a name that matches the glob pattern."""
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return False
     wanted = jvm.org.apache.hadoop.fs.GlobFilter(pattern)

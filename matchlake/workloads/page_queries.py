@@ -141,7 +141,7 @@ rendered AS (
                   || (100 + page_id % 900) || '|Match-Report'
              ELSE 'bad date|ACMilan|(4) 1–1 (3)|NULL|x|NULL|Match-ReportMatch-Report' END
                AS cells
-    FROM pages CROSS JOIN (VALUES (CAST(0 AS BIGINT)), (CAST(1 AS BIGINT))) r(row_idx)
+    FROM (SELECT page_id, CAST(unnest([0, 1]) AS BIGINT) AS row_idx FROM pages)
 )"""
 _PLAYERS_SQL = """
 player_rows AS (
@@ -149,7 +149,7 @@ player_rows AS (
            'Player|Min|Gls|SoT' AS headers,
            CASE row_idx WHEN 0 THEN 'P' || page_id || '|90|' || (page_id % 4) || '|n/a'
                         ELSE 'NULL|90|9|1' END AS cells
-    FROM pages CROSS JOIN (VALUES (CAST(0 AS BIGINT)), (CAST(1 AS BIGINT))) r(row_idx)
+    FROM (SELECT page_id, CAST(unnest([0, 1]) AS BIGINT) AS row_idx FROM pages)
 )"""
 
 ORACLES = {

@@ -237,7 +237,7 @@ def _incremental_refresh(spark, d):
             f"{root}/silver",
             "basketball",
             "games",
-            lambda snapshots: silver.basketball_games(snapshots.drop("date"), lookup),
+            lambda snapshots: silver.basketball_games(snapshots, lookup),
             f"{root}/progress",
         )
     return spark.read.schema(schemas.gold("nba_games")).parquet(f"{root}/silver/basketball/games")

@@ -1,6 +1,10 @@
 """Table extraction from page text: markup variants and Spark-side choices."""
 
+import html as html_text
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from matchlake.operators import bronze, page_tables
 
@@ -139,3 +143,22 @@ def test_page_text_is_read_once(spark):
     plan = texts._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert "Exchange" not in plan
+
+
+TEXT = st.text(
+    st.characters(codec="utf-8", exclude_categories=("Cc", "Cs", "Zs", "Zl", "Zp")), min_size=1
+)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(TEXT, min_size=3, max_size=3), min_size=1, max_size=4), st.booleans())
+def test_any_text_survives_rendering(rows, hidden):
+    """Cells come back whatever characters they hold, in markup or in a comment."""
+    cells = "".join(
+        "<tr>" + "".join(f"<td>{html_text.escape(c)}</td>" for c in row) + "</tr>" for row in rows
+    )
+    table = f'<table id="t"><thead><tr><th>A<th>B<th>C</tr></thead><tbody>{cells}</tbody></table>'
+    page = f"<p>x{f'<!--{table}-->' if hidden else table}<p>y"
+    (found,) = page_tables._tables_of(page)
+    assert found["grid"] == rows
+    assert (found["headers"], found["in_comment"]) == (["A", "B", "C"], hidden)

@@ -259,7 +259,7 @@ def test_incremental_refresh_equals_the_batch_and_replays(spark, tmp_path):
         }
 
     def project(snapshots):
-        return silver.basketball_games(snapshots.drop("date"), lookup)
+        return silver.basketball_games(snapshots, lookup)
 
     def refresh():
         refresh_silver(
