@@ -3,6 +3,7 @@ from matchlake.functions.columns import (  # noqa: F401
     coerce_date,
     coerce_number,
     count_or_zero,
+    count_where,
     derive_result,
     hash_id,
     number_or_zero,

@@ -53,6 +53,15 @@ def count_or_zero(number: Column) -> Column:
     return number_or_zero(number).cast("bigint")
 
 
+def count_where(condition: Column) -> Column:
+    """Aggregate: rows for which the condition holds.
+
+    ``count_if`` of a compound condition plans as a shared sub-expression, and the
+    optimizer then stops moving filters down; a plain CASE does not.
+    """
+    return F.count(F.when(condition, True))
+
+
 def safe_ratio(made: Column, attempted: Column) -> Column:
     """made / attempted, or NULL where nothing was attempted."""
     return F.when(attempted > 0, made / attempted)

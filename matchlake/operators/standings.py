@@ -1,10 +1,14 @@
 """Season tables: each match seen from both sides, summed per team, then ranked.
 
 The queries are SQL templates over ``{matches}`` so that one text serves both as
-a DataFrame function and as a view in the catalog.  Every rank ends in the team
-name, which keeps ties in the same order on every run.  Aggregation happens in
-each map task before the shuffle, so a team or league with a third of all
-matches sends one row per task; the ranking window sees one row per team.
+a DataFrame function and as a view in the catalog.  They nest subqueries rather
+than naming them in a WITH list, through which a later filter on the season or
+league would not move down to the files.
+
+Every rank ends in the team name, which keeps ties in the same order on every
+run.  Aggregation happens in each map task before the shuffle, so a team or
+league with a third of all matches sends one row per task; the ranking window
+sees one row per team.
 """
 
 from __future__ import annotations
@@ -38,18 +42,18 @@ _POINTS_SIDES = sides_sql(
     },
 )
 
+_LEAGUE_STANDINGS_SUMS = f"""
+SELECT league, season, team,
+       count(*) AS matches_played,
+       count(*) FILTER (WHERE won) AS wins,
+       count(*) FILTER (WHERE drawn) AS draws,
+       count(*) FILTER (WHERE lost) AS losses,
+       sum(scored) AS goals_for, sum(conceded) AS goals_against,
+       sum(chances_for) AS chances_for, sum(chances_against) AS chances_against
+FROM ({_POINTS_SIDES}) GROUP BY league, season, team
+"""
+
 LEAGUE_STANDINGS = f"""
-WITH team_seasons AS (
-    SELECT league, season, team,
-           count(*) AS matches_played,
-           count_if(won) AS wins, count_if(drawn) AS draws, count_if(lost) AS losses,
-           sum(scored) AS goals_for, sum(conceded) AS goals_against,
-           sum(chances_for) AS chances_for, sum(chances_against) AS chances_against
-    FROM ({_POINTS_SIDES}) GROUP BY league, season, team
-), scored_seasons AS (
-    SELECT *, goals_for - goals_against AS goal_difference, 3 * wins + draws AS points
-    FROM team_seasons
-)
 SELECT league, season,
        CAST(row_number() OVER (
            PARTITION BY league, season
@@ -60,7 +64,10 @@ SELECT league, season,
        {_rounded("chances_for", 2)} AS xg_for,
        {_rounded("chances_against", 2)} AS xg_against,
        {_rounded("chances_for - chances_against", 2)} AS xg_difference
-FROM scored_seasons
+FROM (
+    SELECT *, goals_for - goals_against AS goal_difference, 3 * wins + draws AS points
+    FROM ({_LEAGUE_STANDINGS_SUMS})
+)
 """
 
 # A missing home_win counts as lost for both sides; so does a drawn game for the
@@ -82,18 +89,17 @@ _GAME_SIDES = sides_sql(
     },
 )
 
+_WINPCT_STANDINGS_SUMS = f"""
+SELECT season, team, team_id,
+       count(*) AS games_played, count(*) FILTER (WHERE won) AS wins,
+       count(*) FILTER (WHERE is_home AND won) AS home_wins, count(*) FILTER (WHERE is_home AND NOT won) AS home_losses,
+       count(*) FILTER (WHERE NOT is_home AND won) AS away_wins,
+       count(*) FILTER (WHERE NOT is_home AND NOT won) AS away_losses,
+       avg(scored) AS scored, avg(allowed) AS allowed
+FROM ({_GAME_SIDES}) GROUP BY season, team, team_id
+"""
+
 WINPCT_STANDINGS = f"""
-WITH team_seasons AS (
-    SELECT season, team, team_id,
-           count(*) AS games_played, count_if(won) AS wins,
-           count_if(is_home AND won) AS home_wins, count_if(is_home AND NOT won) AS home_losses,
-           count_if(NOT is_home AND won) AS away_wins,
-           count_if(NOT is_home AND NOT won) AS away_losses,
-           avg(scored) AS scored, avg(allowed) AS allowed
-    FROM ({_GAME_SIDES}) GROUP BY season, team, team_id
-), rated AS (
-    SELECT *, CAST(wins AS DOUBLE) / nullif(games_played, 0) AS share FROM team_seasons
-)
 SELECT season,
        CAST(row_number() OVER (
            PARTITION BY season
@@ -105,7 +111,9 @@ SELECT season,
        {_rounded("scored", 1)} AS points_per_game,
        {_rounded("allowed", 1)} AS points_allowed_per_game,
        {_rounded("scored - allowed", 1)} AS point_differential
-FROM rated
+FROM (
+    SELECT *, CAST(wins AS DOUBLE) / games_played AS share FROM ({_WINPCT_STANDINGS_SUMS})
+)
 """
 
 _TIED_SIDES = sides_sql(
@@ -127,23 +135,20 @@ _TIED_SIDES = sides_sql(
 
 # Losses are what is left after wins and ties, so they go below zero only if a
 # tied game is also marked as won.
+_WINPCT_STANDINGS_TIES_SUMS = f"""
+SELECT season, team,
+       count(*) AS games_played, count(*) FILTER (WHERE won) AS wins, count(*) FILTER (WHERE tied) AS ties,
+       count(*) FILTER (WHERE is_home) AS home_games,
+       count(*) FILTER (WHERE is_home AND won) AS home_wins, count(*) FILTER (WHERE is_home AND tied) AS home_ties,
+       count(*) FILTER (WHERE NOT is_home) AS away_games,
+       count(*) FILTER (WHERE NOT is_home AND won) AS away_wins,
+       count(*) FILTER (WHERE NOT is_home AND tied) AS away_ties,
+       sum(scored) AS points_for, sum(allowed) AS points_against,
+       avg(scored) AS scored, avg(allowed) AS allowed
+FROM ({_TIED_SIDES}) GROUP BY season, team
+"""
+
 WINPCT_STANDINGS_TIES = f"""
-WITH team_seasons AS (
-    SELECT season, team,
-           count(*) AS games_played, count_if(won) AS wins, count_if(tied) AS ties,
-           count_if(is_home) AS home_games,
-           count_if(is_home AND won) AS home_wins, count_if(is_home AND tied) AS home_ties,
-           count_if(NOT is_home) AS away_games,
-           count_if(NOT is_home AND won) AS away_wins,
-           count_if(NOT is_home AND tied) AS away_ties,
-           sum(scored) AS points_for, sum(allowed) AS points_against,
-           avg(scored) AS scored, avg(allowed) AS allowed
-    FROM ({_TIED_SIDES}) GROUP BY season, team
-), rated AS (
-    SELECT *, CAST(wins AS DOUBLE) / nullif(games_played, 0) AS share,
-           points_for - points_against AS point_differential
-    FROM team_seasons
-)
 SELECT season,
        CAST(row_number() OVER (
            PARTITION BY season
@@ -156,7 +161,11 @@ SELECT season,
        points_for, points_against, point_differential,
        {_rounded("scored", 1)} AS points_per_game,
        {_rounded("allowed", 1)} AS points_allowed_per_game
-FROM rated
+FROM (
+    SELECT *, CAST(wins AS DOUBLE) / games_played AS share,
+           points_for - points_against AS point_differential
+    FROM ({_WINPCT_STANDINGS_TIES_SUMS})
+)
 """
 
 

@@ -11,6 +11,7 @@ from matchlake.operators import splits, standings
 from matchlake.sources.scans import bronze_path, partition_columns, silver_path
 
 GOLD = "gold"
+SEASON = "season"
 
 # View name -> (base table, query).
 VIEWS = {
@@ -30,8 +31,23 @@ def write_dataset(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_silver(df: DataFrame, root: str, sport: str, dataset: str) -> str:
-    return write_dataset(df, silver_path(root, sport, dataset))
+def write_silver(df: DataFrame, root: str, sport: str, dataset: str, mode: str = "static") -> str:
+    """Write a silver dataset with one folder per season.
+
+    ``static`` replaces the dataset, ``dynamic`` only the seasons in ``df``.  The
+    rows are rebalanced by season first: AQE splits a season that is larger than
+    the advisory partition size and merges small ones, so that neither one task
+    gets a whole hot season nor every task writes to every folder.
+    """
+    path = silver_path(root, sport, dataset)
+    (
+        df.hint("rebalance", SEASON)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", mode)
+        .partitionBy(SEASON)
+        .parquet(path)
+    )
+    return path
 
 
 def write_snapshot(df: DataFrame, root: str, sport: str, dataset: str, date: str) -> int:

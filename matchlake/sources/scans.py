@@ -105,8 +105,20 @@ def silver_path(root: str, sport: str, dataset: str) -> str:
     return f"{root.rstrip('/')}/{sport}/{dataset}"
 
 
-def scan_silver(spark: SparkSession, root: str, sport: str, dataset: str) -> DataFrame:
-    return scan_file(spark, silver_path(root, sport, dataset))
+def scan_silver(
+    spark: SparkSession,
+    root: str,
+    sport: str,
+    dataset: str,
+    contract: T.StructType,
+    season: str | int | None = None,
+) -> DataFrame:
+    """A silver dataset, all of it or the folder of one season."""
+    path = silver_path(root, sport, dataset)
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"no silver data at {path}")
+    found = spark.read.schema(contract).parquet(path).select(*contract.names)
+    return found if season is None else found.where(F.col("season") == season)
 
 
 def partition_columns(sport: str) -> list[str]:

@@ -14,9 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.sources.scans import bronze_contract, bronze_path, scan_bronze, silver_path
-
-SEASON = "season"
+from matchlake.sinks.writers import SEASON, write_silver
+from matchlake.sources.scans import bronze_contract, bronze_path, scan_bronze
 
 
 def refresh_silver(
@@ -33,20 +32,13 @@ def refresh_silver(
     ``checkpoint`` is a folder on storage that all executors share; it remembers
     which files are done.
     """
-    target = silver_path(silver_root, sport, dataset)
-
     def update(new_rows: DataFrame, _epoch: int) -> None:
         # Names of season folders, of which the driver holds a listing anyway.  As
         # literals they prune the folders that are read; a join would not.
         touched = [row[SEASON] for row in new_rows.select(SEASON).distinct().collect()]
         snapshots = scan_bronze(spark, bronze_root, sport, dataset)
-        (
-            project(snapshots.where(F.col(SEASON).isin(touched)))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(SEASON)
-            .parquet(target)
-        )
+        current = project(snapshots.where(F.col(SEASON).isin(touched)))
+        write_silver(current, silver_root, sport, dataset, mode="dynamic")
 
     (
         spark.readStream.schema(bronze_contract(sport, dataset))

@@ -337,7 +337,7 @@ def _player_counts(spark, d):
     """Event counts per user, standing in for a season's stat lines."""
     kinds = ["click", "view", "purchase", "signup", "error"]
     return fx.table(spark, d, "events").groupBy("user_id").agg(
-        *[F.count_if(F.col("event_type") == kind).alias(f"{kind}s") for kind in kinds]
+        *[fn.count_where(F.col("event_type") == kind).alias(f"{kind}s") for kind in kinds]
     )
 
 

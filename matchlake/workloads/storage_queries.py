@@ -240,7 +240,9 @@ def _incremental_refresh(spark, d):
             lambda snapshots: silver.basketball_games(snapshots, lookup),
             f"{root}/progress",
         )
-    return spark.read.schema(schemas.gold("nba_games")).parquet(f"{root}/silver/basketball/games")
+    return scans.scan_silver(
+        spark, f"{root}/silver", "basketball", "games", schemas.gold("nba_games")
+    )
 
 
 QUERIES = {

@@ -304,3 +304,27 @@ def test_plans(spark, soccer, tmp_path):
     assert form_plan.count("Exchange") == 1
     assert "row_number(), 5, Partial" in form_plan
     assert "row_number(), 1, Partial" in plan_of(deduplicate(stored, ["match_id"], ["match_date"]))
+
+
+def test_filters_on_a_result_reach_the_files(spark, soccer, games, weeks, tmp_path):
+    """Season and league filters pass through ranks, sums and both sides."""
+
+    def stored(df, name):
+        return spark.read.schema(df.schema).parquet(writers.write_dataset(df, f"{tmp_path}/{name}"))
+
+    matches, nba, nfl = stored(soccer, "m"), stored(games, "g"), stored(weeks, "w")
+    season, league = "season = '2024-25'", "league = 'x'"
+    for result, condition in [
+        (standings.league_standings(matches), season),
+        (standings.winpct_standings(nba), season),
+        (standings.winpct_standings_ties(nfl), "season = 2024"),
+        (splits.home_form_summary(matches), season),
+        (splits.home_avg_summary(nba), season),
+        (splits.home_away_splits(matches), season),
+        (splits.home_away_splits_avg(nba), season),
+        (form.team_form(matches), league),
+        (records.head_to_head(matches), league),
+        (records.team_season_totals(nfl), "season = 2024"),
+    ]:
+        plan = plan_of(result.where(condition))
+        assert f"EqualTo({condition.split()[0]}," in plan, plan

@@ -242,6 +242,13 @@ def test_whole_run_of_all_sports(spark, tmp_path, schema):
         ("Premier League", "Arsenal", 3), ("Premier League", "Wolverhampton", 0),
     ]
     assert spark.table(f"{schema}.soccer_head_to_head").count() == 2
+    # A filter on the season reaches the files below a view.
+    one = spark.sql(f"SELECT * FROM {schema}.v_nfl_standings WHERE season = 2024")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(season,2024)" in plan.split("PushedFilters: [")[1].split("]")[0]
+    contract = schemas.gold("nfl_games")
+    silver_games = scans.scan_silver(spark, lake.silver, "football", "games", contract, 2024)
+    assert silver_games.schema == contract and silver_games.count() == 2
     # Again without ingest: same tables.
     jobs.run(spark, lake, skip_ingest=True, skip_gold=True)
     assert spark.table(f"{schema}.nba_games").first().home_team == "Los Angeles Lakers"
@@ -266,8 +273,8 @@ def test_incremental_refresh_equals_the_batch_and_replays(spark, tmp_path):
             spark, f"{tmp_path}/bronze", f"{tmp_path}/silver", "basketball", "games", project,
             f"{tmp_path}/progress",
         )
-        found = spark.read.schema(schemas.gold("nba_games")).parquet(
-            f"{tmp_path}/silver/basketball/games"
+        found = scans.scan_silver(
+            spark, f"{tmp_path}/silver", "basketball", "games", schemas.gold("nba_games")
         )
         return sorted((r.season, r.game_id, r.home_score) for r in found.collect())
 
