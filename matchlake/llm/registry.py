@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import language, mixing
+from matchlake.llm import language, mixing, pseudonyms
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_identify_language": language.op1_identify_language,
         "op5_mix_sources": mixing.op5_mix_sources,
+        "op10_pseudonymise": pseudonyms.op10_pseudonymise,
     }
 
 
