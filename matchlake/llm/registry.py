@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import language, mixing, pseudonyms, secret_scan
+from matchlake.llm import language, mixing, pseudonyms, secret_scan, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_identify_language": language.op1_identify_language,
+        "op2_remove_repeats": substring_dedup.op2_remove_repeats,
         "op3_scan_secrets": secret_scan.op3_scan_secrets,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op10_pseudonymise": pseudonyms.op10_pseudonymise,
