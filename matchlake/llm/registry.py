@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import language, mixing, pseudonyms, secret_scan, substring_dedup
+from matchlake.llm import jaccard_join, language, mixing, pseudonyms, secret_scan, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
         "op2_remove_repeats": substring_dedup.op2_remove_repeats,
         "op3_scan_secrets": secret_scan.op3_scan_secrets,
         "op5_mix_sources": mixing.op5_mix_sources,
+        "op7_near_duplicates": jaccard_join.op7_near_duplicates,
         "op10_pseudonymise": pseudonyms.op10_pseudonymise,
     }
 
