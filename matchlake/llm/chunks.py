@@ -12,7 +12,7 @@ order; and the chunk, opened again, reads off the answers.
 * Memory of a task: one chunk or one bucket.  ``bucket_keys`` sets how many keys a
   bucket holds; the number of buckets grows with the corpus.
 * For a corpus of many terabytes raise ``chunk_bytes`` and ``bucket_keys`` together
-  (for instance 128 MB and 50 million), so that rows stay long.
+  (for instance 128 MB and 20 million), so that rows stay long.
 """
 
 from __future__ import annotations
@@ -39,8 +39,8 @@ REPLY = "chunk_id long, bucket int, reply binary"
 @dataclass(frozen=True)
 class Layout:
     chunk_bytes: int = 4_000_000
-    bucket_keys: int = 2_000_000
-    min_buckets: int = 96
+    bucket_keys: int = 500_000
+    min_buckets: int = 64
 
 
 def write_chunks(docs: DataFrame, scratch: Scratch, layout: Layout) -> tuple[DataFrame, int]:

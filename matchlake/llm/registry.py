@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import jaccard_join, language, mixing, pseudonyms, secret_scan, substring_dedup
+from matchlake.llm import jaccard_join, language, mixing, ngram_model, pseudonyms, secret_scan, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
         "op1_identify_language": language.op1_identify_language,
         "op2_remove_repeats": substring_dedup.op2_remove_repeats,
         "op3_scan_secrets": secret_scan.op3_scan_secrets,
+        "op4_score_texts": ngram_model.op4_score_texts,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op7_near_duplicates": jaccard_join.op7_near_duplicates,
         "op10_pseudonymise": pseudonyms.op10_pseudonymise,
