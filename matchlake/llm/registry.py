@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import jaccard_join, language, mixing, ngram_model, pseudonyms, secret_scan, substring_dedup
+from matchlake.llm import (
+    jaccard_join,
+    language,
+    mixing,
+    ngram_model,
+    pseudonyms,
+    quality_rules,
+    secret_scan,
+    substring_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +28,7 @@ def queries() -> dict[str, Query]:
         "op4_score_texts": ngram_model.op4_score_texts,
         "op5_mix_sources": mixing.op5_mix_sources,
         "op7_near_duplicates": jaccard_join.op7_near_duplicates,
+        "op8_quality_rules": quality_rules.op8_quality_rules,
         "op10_pseudonymise": pseudonyms.op10_pseudonymise,
     }
 
