@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from matchlake.llm import (
+    decontamination,
     jaccard_join,
     language,
     mixing,
@@ -27,6 +28,7 @@ def queries() -> dict[str, Query]:
         "op3_scan_secrets": secret_scan.op3_scan_secrets,
         "op4_score_texts": ngram_model.op4_score_texts,
         "op5_mix_sources": mixing.op5_mix_sources,
+        "op6_decontaminate": decontamination.op6_decontaminate,
         "op7_near_duplicates": jaccard_join.op7_near_duplicates,
         "op8_quality_rules": quality_rules.op8_quality_rules,
         "op10_pseudonymise": pseudonyms.op10_pseudonymise,
