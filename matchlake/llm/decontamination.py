@@ -19,7 +19,7 @@ Items come to the driver in blocks of at most ``block_bytes`` of text, and a blo
 model is as large as its vocabulary times the rank; each block makes one pass over the
 documents, without a shuffle.  The word counts are 2 MB at any size of the corpus.
 
-Words are maximal runs of letters, digits and non-ASCII characters, ASCII in lower case.
+Words are maximal runs of letters, digits and non-ASCII characters, in lower case.
 Defined results: NULL and empty texts are clean, NULL or wordless items find nothing, an
 empty benchmark leaves everything clean; repeated items and rows are reported each;
 equal cosines keep the earliest window.  Other columns are kept by ``drop_contaminated``.
@@ -75,6 +75,8 @@ class _Numbers(dict):
 
 
 def plain_words(text: bytes) -> list[bytes]:
+    if not text.isascii():
+        text = text.decode().lower().encode()
     return text.translate(_PLAIN).split()
 
 

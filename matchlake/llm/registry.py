@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from matchlake.llm import (
     decontamination,
     jaccard_join,
     language,
+    licenses,
     mixing,
     ngram_model,
     pseudonyms,
@@ -31,7 +33,9 @@ def queries() -> dict[str, Query]:
         "op6_decontaminate": decontamination.op6_decontaminate,
         "op7_near_duplicates": jaccard_join.op7_near_duplicates,
         "op8_quality_rules": quality_rules.op8_quality_rules,
+        "op9_scan_licences": licenses.op9_scan_licences,
         "op10_pseudonymise": pseudonyms.op10_pseudonymise,
+        "pipeline": corpus_pipeline.run,
     }
 
 
