@@ -5,12 +5,13 @@
    enter the lengths of vectors.
 2. Benchmark items are cut into passages of ``2 * cell`` words.  A randomised SVD of
    their weighted word vectors, whose products are summed over Spark's tasks, gives a
-   basis of at most ``rank`` directions.
+   basis of ``rank`` directions, and passages of which these keep less than
+   ``min_kept`` of the length add their own, so that no item is out of reach.
 3. Every document is cut into windows of two cells, one cell apart.  A window's cosine
    with each passage is the product of their coordinates over the window's whole
    length; windows whose share of benchmark words bounds it below ``min_cosine`` are
    left out first, which is exact.
-4. For each candidate the longest common subsequence of the item's words and the words
+4. For each candidate around which enough of the item's words occur, the longest common subsequence of the item's words and the words
    around the window decides: a share of ``copy_share`` is a copy, ``paraphrase_share``
    a paraphrase if the answer is there as well: the words of a column ``answer``, or
    the last words of the item.
@@ -19,7 +20,8 @@ Items come to the driver in blocks of at most ``block_bytes`` of text, and a blo
 model is as large as its vocabulary times the rank; each block makes one pass over the
 documents, without a shuffle.  The word counts are 2 MB at any size of the corpus.
 
-Words are maximal runs of letters, digits and non-ASCII characters, in lower case.
+Words are maximal runs of letters, digits and non-ASCII characters, in lower case, known
+by 64-bit hashes that are computed on whole Arrow buffers.
 Defined results: NULL and empty texts are clean, NULL or wordless items find nothing, an
 empty benchmark leaves everything clean; repeated items and rows are reported each;
 equal cosines keep the earliest window.  Other columns are kept by ``drop_contaminated``.
@@ -29,59 +31,116 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.llm import chunks as C
-from matchlake.llm.text import documents, short_lived_shuffles, text_bytes
+from matchlake.llm.text import documents, short_lived_shuffles
 
 _SLOTS = 1 << 18
 _BLOCKS = 64
-_PLAIN = bytes(i if i >= 128 or chr(i).isalnum() else 32 for i in range(256)).lower()
+_PIECE = 1 << 18
+#: For each byte a random odd number, or 0 if it is no part of a word.
+_VALUES = np.where(
+    [i >= 128 or chr(i).isalnum() for i in range(256)], np.random.default_rng(2024).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1), np.uint64(0)
+)
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 @dataclass(frozen=True)
 class Settings:
     cell: int = 16
-    rank: int = 256
+    rank: int = 192
+    min_kept: float = 0.8
     min_cosine: float = 0.3
     copy_share: float = 0.8
     paraphrase_share: float = 0.6
     answer_words: int = 3
-    block_bytes: int = 1_000_000
+    block_bytes: int = 250_000
     seed: int = 7
 
 
-class _Numbers(dict):
-    """A number for each word: benchmark words by the dictionary given, others by slot."""
-
-    LIMIT = 1_000_000
-
-    def __init__(self, known: dict[bytes, int]) -> None:
-        super().__init__(known)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+class Scanner:
+    """Hashes of the words of texts, straight from Arrow's buffers.
+
+    With powers of an odd base a word's polynomial hash is a difference of two running
+    sums times an inverse power, all modulo 2^64, so no word becomes a Python object.
+    """
+
+    def __init__(self) -> None:
+        self.powers, self.inverses = _powers(_BASE, _PIECE), _powers(_INVERSE, _PIECE)
+
+    def words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The words' hashes, end to end, and the number of words of each text."""
+        texts = pc.utf8_lower(pc.fill_null(texts, "")).cast(pa.large_string())
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        hashes, lengths, at = [], [np.zeros(0, np.int64)], 0
+        while at < len(texts):
+            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _PIECE, side="right")) - 1)
+            own, n = self._piece(data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at])
+            hashes.append(own)
+            lengths.append(n)
+            at = stop
+        return np.concatenate([np.zeros(0, np.uint64), *hashes]), np.concatenate(lengths)
+
+    def _piece(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(data)
+        if n > len(self.powers):
+            self.powers, self.inverses = _powers(_BASE, n), _powers(_INVERSE, n)
+        values = _VALUES[data]
+        inside = values != 0
+        begins, ends = inside.copy(), inside.copy()
+        begins[1:] &= ~inside[:-1]
+        ends[:-1] &= ~inside[1:]
+        bounds = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < n)]
+        begins[bounds] = inside[bounds]  # a text's first word is not the last one's end
+        ends[bounds - 1] = inside[bounds - 1]
+        begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(values * self.powers[:n], out=sums[1:])
+        hashes = C.mixed((sums[ends] - sums[begins]) * self.inverses[begins])
+        return hashes, np.diff(np.searchsorted(begins, offsets))
+
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(_SLOTS - 1)).astype(np.int64)
+
+
+class Numbers:
+    """A number for each word: benchmark words from _SLOTS on, in the order given; others their slot."""
+
+    def __init__(self, known: np.ndarray) -> None:
+        """``known``: sorted hashes."""
         self.known = known
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT + len(self.known):
-            self.clear()
-            self.update(self.known)
-        number = self[word] = xxhash.xxh3_64_intdigest(word) % _SLOTS
-        return number
-
-
-def plain_words(text: bytes) -> list[bytes]:
-    if not text.isascii():
-        text = text.decode().lower().encode()
-    return text.translate(_PLAIN).split()
-
-
-def _numbered(lists: list[list[bytes]], numbers: _Numbers) -> np.ndarray:
-    return np.fromiter(map(numbers.__getitem__, chain.from_iterable(lists)), np.int32, sum(map(len, lists)))
+        self.first = np.full(_SLOTS, -1, np.int32)
+        slots = _slots(known)
+        self.first[slots] = np.arange(len(known))
+        crowded = np.bincount(slots, minlength=_SLOTS) > 1
+        self.crowded = crowded if crowded.any() else None
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        out = _slots(hashes)
+        row = self.first[out]
+        asked = np.flatnonzero(row >= 0)
+        row, own = row[asked], hashes[asked]
+        if self.crowded is not None:
+            several = np.flatnonzero(self.crowded[out[asked]])
+            row[several] = np.minimum(np.searchsorted(self.known, own[several]), len(self.known) - 1)
+        same = self.known[row] == own
+        out[asked[same]] = row[same] + _SLOTS
+        return out
 
 
 def _added(rows: DataFrame, dtype: type) -> dict[int, np.ndarray]:
@@ -104,11 +163,10 @@ def word_counts(docs: DataFrame) -> np.ndarray:
     """Occurrences in all documents by slot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, total = _Numbers({}), np.zeros(_SLOTS, np.int64)
+        scanner, total = Scanner(), np.zeros(_SLOTS, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                lists = [plain_words(x) for x in text_bytes(batch.column(0).slice(at, 1000))]
-                total += np.bincount(_numbered(lists, numbers), minlength=_SLOTS)
+            for part in _slices(batch):
+                total += np.bincount(_slots(scanner.words(part.column(0))[0]), minlength=_SLOTS)
         yield _parts(np.split(total, _BLOCKS))
 
     sums = _added(docs.select("text").mapInArrow(run, "block int, data binary"), np.int64)
@@ -117,12 +175,12 @@ def word_counts(docs: DataFrame) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """One block of items: numbers of its words, weights of all numbers, directions, and its passages."""
+    """One block of items: their words, sorted known words, weights of all numbers, directions, and passages."""
 
     item_ids: list
-    items: list[list[bytes]]
-    answers: list[list[bytes]]
-    known: dict[bytes, int]
+    items: list[np.ndarray]
+    answers: list[np.ndarray]
+    known: np.ndarray
     weights: np.ndarray
     basis: np.ndarray
     passages: np.ndarray
@@ -143,17 +201,20 @@ def _rows(numbers: np.ndarray, cuts: list[tuple[int, int]], weights: np.ndarray)
     return out
 
 
-def _product(benchmark: DataFrame, known: dict[bytes, int], weights: np.ndarray, right: np.ndarray, settings: Settings) -> np.ndarray:
+def _split(hashes: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    return np.split(hashes, np.cumsum(lengths)[:-1]) if len(lengths) else []
+
+
+def _product(benchmark: DataFrame, known: np.ndarray, weights: np.ndarray, right: np.ndarray, settings: Settings) -> np.ndarray:
     """A' A times ``right`` for the matrix A of all passages, summed over tasks."""
     size = right.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, total = _Numbers(known), np.zeros(size)
+        scanner, numbers, total = Scanner(), Numbers(known), np.zeros(size)
         for batch in batches:
-            for text in text_bytes(batch.column(0)):
-                words = plain_words(text)
-                if words:
-                    for own, values in _rows(_numbered([words], numbers), _passages(len(words), settings.cell), weights):
+            for words in _split(*scanner.words(batch.column(0))):
+                if len(words):
+                    for own, values in _rows(numbers.of(words), _passages(len(words), settings.cell), weights):
                         total[own] += np.outer(values, values @ right[own])
         yield _parts(np.array_split(total.ravel(), _BLOCKS))
 
@@ -163,28 +224,36 @@ def _product(benchmark: DataFrame, known: dict[bytes, int], weights: np.ndarray,
 
 def fit(benchmark: DataFrame, rows: list, counts: np.ndarray, settings: Settings) -> Model | None:
     """The model of one block; ``rows`` are its (item_id, text, answer), ``benchmark`` the same as a frame of texts."""
-    items = [plain_words((text or "").encode()) for _, text, _ in rows]
-    answers = [plain_words((answer or "").encode()) or words[-settings.answer_words :] for (_, _, answer), words in zip(rows, items, strict=True)]
-    known = {word: _SLOTS + i for i, word in enumerate(sorted({w for words in items for w in words}))}
-    if not known:
+    scanner = Scanner()
+    items, answers = (_split(*scanner.words(pa.array([row[i] for row in rows], pa.string()))) for i in (1, 2))
+    answers = [answer if len(answer) else words[-settings.answer_words :] for answer, words in zip(answers, items, strict=True)]
+    known = np.unique(np.concatenate(items))
+    if not len(known):
         return None
     total = int(counts.sum())
-    slots = np.array([xxhash.xxh3_64_intdigest(w) % _SLOTS for w in known])
-    weights = np.log((total + 2) / (np.concatenate([counts, counts[slots]]) + 1)).astype(np.float32)
-    cuts = [(i, cut) for i, words in enumerate(items) if words for cut in _passages(len(words), settings.cell)]
+    weights = np.log((total + 2) / (np.concatenate([counts, counts[_slots(known)]]) + 1)).astype(np.float32)
+    cuts = [(i, cut) for i, words in enumerate(items) if len(words) for cut in _passages(len(words), settings.cell)]
     rank = min(settings.rank, len(cuts), len(known))
     start = np.random.default_rng(settings.seed).standard_normal((len(known), min(rank + 16, len(known))))
     q, _ = np.linalg.qr(_product(benchmark, known, weights, start, settings))
     basis = np.linalg.svd(_product(benchmark, known, weights, q, settings), full_matrices=False)[0][:, :rank].astype(np.float32)
-    numbers = _Numbers(known)
-    passages = np.zeros((len(cuts), rank), np.float32)
-    for row, (i, cut) in enumerate(cuts):
-        (own, values), = _rows(_numbered([items[i]], numbers), [cut], weights)
-        passages[row] = values @ basis[own]
+    numbers = Numbers(known)
+    vectors = [_rows(numbers.of(items[i]), [cut], weights)[0] for i, cut in cuts]
+    passages = np.array([values @ basis[own] for own, values in vectors], np.float32)
+    # a passage that the basis hardly keeps gets a direction of its own
+    lost = np.flatnonzero(np.linalg.norm(passages, axis=1) < settings.min_kept)
+    if len(lost):
+        rest = np.zeros((len(known), len(lost)))
+        for column, row in enumerate(lost):
+            own, values = vectors[row]
+            rest[own, column] = values
+            rest[:, column] -= basis @ passages[row]
+        basis = np.linalg.qr(np.hstack([basis, rest]))[0].astype(np.float32)
+        passages = np.array([values @ basis[own] for own, values in vectors], np.float32)
     return Model([r[0] for r in rows], items, answers, known, weights, basis, passages, np.array([i for i, _ in cuts]))
 
 
-def common_subsequence(masks: dict[bytes, int], size: int, words: list[bytes]) -> int:
+def common_subsequence(masks: dict[int, int], size: int, words: list[int]) -> int:
     """Length of the longest common subsequence; ``masks`` has the places of each word of one side as bits."""
     full = (1 << size) - 1
     state = full
@@ -194,9 +263,9 @@ def common_subsequence(masks: dict[bytes, int], size: int, words: list[bytes]) -
     return size - state.bit_count()
 
 
-def _masks(words: list[bytes]) -> dict[bytes, int]:
-    out: dict[bytes, int] = {}
-    for i, word in enumerate(words):
+def _masks(words: np.ndarray) -> dict[int, int]:
+    out: dict[int, int] = {}
+    for i, word in enumerate(words.tolist()):
         out[word] = out.get(word, 0) | 1 << i
     return out
 
@@ -206,64 +275,79 @@ class Searcher:
 
     def __init__(self, model: Model, settings: Settings) -> None:
         self.model, self.settings = model, settings
-        self.numbers = _Numbers(model.known)
-        self.weighted = model.basis * model.weights[_SLOTS:, None]
+        self.scanner, self.numbers = Scanner(), Numbers(model.known)
+        self.weighted = np.vstack([model.basis * model.weights[_SLOTS:, None], np.zeros((1, model.basis.shape[1]), np.float32)])
         self.squares = model.weights.astype(np.float64) ** 2
+        self.sizes = np.array([len(x) for x in model.items])
+        self.longest = int(self.sizes.max())
+        self.rows = np.full((len(model.items), self.longest), len(model.known), np.int32)
+        for i, words in enumerate(model.items):
+            self.rows[i, : len(words)] = np.searchsorted(model.known, words)
         self.masks = [_masks(x) for x in model.items]
         self.answer_masks = [_masks(x) for x in model.answers]
 
-    def windows(self, lists: list[list[bytes]]) -> Iterator[tuple[int, int, int, float]]:
-        """(document, first word, item, cosine) of the candidates."""
+    def windows(self, hashes: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """(document, place of the first word, item, cosine) of the candidates."""
         cell, model = self.settings.cell, self.model
-        numbers = _numbered(lists, self.numbers)
-        if not len(numbers):
+        if not len(hashes):
             return
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        numbers = self.numbers.of(hashes)
         cells = -(-lengths // cell)
         first_word, first_cell = np.cumsum(lengths) - lengths, np.cumsum(cells) - cells
         n = int(cells.sum())
-        document = np.repeat(np.arange(len(lists)), cells)
+        document = np.repeat(np.arange(len(lengths)), cells)
         begins = first_word[document] + (np.arange(n) - first_cell[document]) * cell
-        cell_of = np.repeat(np.arange(n), np.diff(begins, append=len(numbers)))
-        mass = self.squares[numbers]
-        inside = numbers >= _SLOTS
-        whole = np.bincount(cell_of, weights=mass, minlength=n)
-        shared = np.bincount(cell_of[inside], weights=mass[inside], minlength=n)
         # a window is a cell and the next one of its document
+        follow = np.arange(1, n + 1)
         paired = np.zeros(n, bool)
         paired[:-1] = document[1:] == document[:-1]
-        follow = np.where(paired, np.roll(np.arange(n), -1), -1)
-        after = lambda x: np.where(paired, x[follow], 0)
-        length = np.sqrt(whole + after(whole))
-        bound = np.sqrt(shared + after(shared))
+        follow[~paired] = n
+
+        def by_window(mass: np.ndarray) -> np.ndarray:
+            of_cell = np.append(np.add.reduceat(mass, begins), 0)
+            return np.sqrt(of_cell[:-1] + of_cell[follow])
+
+        mass = self.squares[numbers]
+        length = by_window(mass)
+        inside = numbers >= _SLOTS
+        bound = by_window(mass * inside)
         asked = np.flatnonzero((bound >= self.settings.min_cosine * length) & (length > 0) & (paired | (cells[document] == 1)))
-        if not len(asked):
-            return
-        needed = np.zeros(n + 1, bool)
-        needed[asked] = needed[follow[asked]] = True
-        places = np.flatnonzero(inside & needed[cell_of])
-        of = cell_of[places]
-        starts = np.flatnonzero(np.diff(of, prepend=-1))
+        cell_of = np.repeat(np.arange(n), np.diff(begins, append=len(numbers)))
+        rows = np.full((n, cell), len(model.known), np.int32)
+        rows[cell_of[inside], (np.arange(len(numbers)) - begins[cell_of])[inside]] = numbers[inside] - _SLOTS
         sums = np.zeros((n + 1, self.weighted.shape[1]), np.float32)
-        sums[of[starts]] = np.add.reduceat(self.weighted[numbers[places] - _SLOTS], starts)
+        for at in range(0, n, 32):
+            np.add.reduce(self.weighted[rows[at : at + 32]], axis=1, out=sums[at : min(n, at + 32)])
         for at in range(0, len(asked), 4096):
             part = asked[at : at + 4096]
-            cosines = (sums[part] + sums[follow[part]]) @ model.passages.T / length[part, None]
-            for i, passage in zip(*np.nonzero(cosines >= self.settings.min_cosine), strict=True):
+            products = (sums[part] + sums[follow[part]]) @ model.passages.T
+            enough = products >= (self.settings.min_cosine * length[part]).astype(np.float32)[:, None]
+            for i in np.flatnonzero(enough.any(axis=1)).tolist():
                 d = int(document[part[i]])
-                yield d, int(begins[part[i]] - first_word[d]), int(model.passage_item[passage]), float(cosines[i, passage])
-
-    def find(self, lists: list[list[bytes]]) -> dict[tuple[int, int], tuple[float, float, bool, str]]:
+                found = np.flatnonzero(enough[i])
+                items, cosines = model.passage_item[found], products[i, found] / length[part[i]]
+                # the item's words that occur around the window bound its subsequence
+                first, last = int(first_word[d]), int(first_word[d] + lengths[d])
+                begin = int(begins[part[i]])
+                near = numbers[max(first, begin - self.longest) : min(last, begin + 2 * cell + self.longest)]
+                present = np.zeros(len(model.known) + 1, bool)
+                present[near[near >= _SLOTS] - _SLOTS] = True
+                able = present[self.rows[items]].sum(axis=1) >= self.settings.paraphrase_share * self.sizes[items]
+                yield from ((d, begin, int(x), float(y)) for x, y in zip(items[able], cosines[able], strict=True))
+
+    def find(self, texts: pa.Array) -> dict[tuple[int, int], tuple[float, float, bool, str]]:
         """(document, item) to cosine, share of the item, whether the answer is there, and verdict, for what is contaminated."""
         out: dict[tuple[int, int], tuple[float, float, bool, str]] = {}
         settings = self.settings
-        for d, begin, item, cosine in self.windows(lists):
-            size = len(self.model.items[item])
-            around = lists[d][max(0, begin - size) : begin + 2 * settings.cell + size]
+        hashes, lengths = self.scanner.words(texts)
+        ends = np.cumsum(lengths)
+        for d, begin, item, cosine in self.windows(hashes, lengths):
+            size, first, last = int(self.sizes[item]), int(ends[d] - lengths[d]), int(ends[d])
+            around = hashes[max(first, begin - size) : min(last, begin + 2 * settings.cell + size)].tolist()
             share = common_subsequence(self.masks[item], size, around) / size
             answered = common_subsequence(self.answer_masks[item], len(self.model.answers[item]), around) == len(self.model.answers[item])
             verdict = "copy" if share >= settings.copy_share else "paraphrase" if share >= settings.paraphrase_share and answered else ""
-            if verdict and (share, cosine) > (out[d, item][1], out[d, item][0]) if (d, item) in out else verdict:
+            if verdict and ((d, item) not in out or (share, cosine) > (out[d, item][1], out[d, item][0])):
                 out[d, item] = (cosine, share, answered, verdict)
         return out
 
@@ -289,7 +373,7 @@ def models(benchmark: DataFrame, counts: np.ndarray, settings: Settings) -> Iter
         yield model
 
 
-def _slices(batch: pa.RecordBatch, size: int = 500) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, size: int = 1000) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, size):
         yield batch.slice(at, size)
 
@@ -311,7 +395,7 @@ def _finder(model: Model, settings: Settings):
         searcher = Searcher(model, settings)
         for batch in batches:
             for part in _slices(batch):
-                found = searcher.find([plain_words(x) for x in text_bytes(part.column(1))])
+                found = searcher.find(part.column(1))
                 columns = list(zip(*found.values(), strict=True)) or [[], [], [], []]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -338,7 +422,7 @@ def _keeper(model: Model, settings: Settings):
         searcher = Searcher(model, settings)
         for batch in batches:
             for part in _slices(batch):
-                found = searcher.find([plain_words(x) for x in text_bytes(part.column(part.schema.get_field_index("text")))])
+                found = searcher.find(part.column(part.schema.get_field_index("text")))
                 clean = np.ones(part.num_rows, bool)
                 clean[[d for d, _ in found]] = False
                 yield part.filter(pa.array(clean))
