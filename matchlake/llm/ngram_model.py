@@ -11,18 +11,20 @@ Every text begins after a start mark and ends in an end mark.  The first terms a
 smoothed probabilities that the trie stores, quantised to steps of ``_STEP`` of log10.
 
 The model is as large as the corpus, so it is never in one place.  It is a trie for
-each bucket of first words (see chunks.py for how chunks and buckets talk); first words
-that fill more than their share of a bucket are spread by their second word.  A bucket
-gets the distinct n-grams of each chunk with their training counts, builds its trie from
-those that training has, and looks up all of them, seen or not, for the chunks' scores.
+each bucket of contexts (see chunks.py for how chunks and buckets talk), one order
+after the other: a bucket gets the distinct n-grams of each chunk with their training
+counts, builds its trie from those that training has, and looks up all of them, seen or
+not, for the chunks' scores.  Contexts that fill more than their share of a bucket are
+spread by the next word.  Trigrams whose first two words stand together in no other
+chunk are counted where they are; the others travel.
 
 A trie's levels are monotone sequences in Elias-Fano form in a memory-mapped file that
-vanishes with the task: pointers to the children of each node, and the children's words
-as ranks, made monotone by their parent's number.  Lookups are successor searches among
-the children of their context, in the order of the trie.
+vanishes with the task: pointers from each context to its words, and the words as ranks,
+made monotone by their context's number.  Lookups are successor searches among the
+words of their context, in the order of the trie.
 
-Words are told apart by 64-bit hashes, within a context by 40 (second word) and 32 bits
-(third word).  Defined results: NULL and empty texts are just the end mark; a NULL doc_id
+Words and contexts are told apart by 64-bit hashes, the words of a context by 40 bits.
+Defined results: NULL and empty texts are just the end mark; a NULL doc_id
 is not held out; without training texts N = V = 0 and every probability is 1; repeated
 rows count as often as they occur; further columns are not read.
 """
@@ -175,83 +177,99 @@ class Tokens:
 
 
 class Grams:
-    """Distinct bigrams and trigrams of a chunk, dealt to buckets by first word."""
-
-    def __init__(self, tokens: Tokens, counts: np.ndarray, total: int, buckets: int) -> None:
-        ids, size = tokens.ids.astype(np.uint64), np.uint64(len(tokens.distinct))
-        self.second = np.flatnonzero(tokens.scored)  # places of the last words of bigrams
-        pairs = ids[self.second - 1] * size + ids[self.second]
-        keys, of = np.unique(pairs, return_inverse=True)
-        first, last = (keys // size).astype(np.int64), (keys % size).astype(np.int64)
-        spread = np.maximum(1, -(-counts[first] * 4 * buckets // max(1, total))).astype(np.uint64)
-        stirred = C.mixed(tokens.distinct[first] + C.mixed(tokens.distinct[last]) % spread * np.uint64(0x9E3779B97F4A7C15))
+    """Distinct (context, word) of a chunk, dealt to buckets by context; those of contexts not ``sent`` come last."""
+
+    def __init__(self, tokens: Tokens, contexts: np.ndarray, places: np.ndarray, hashes: np.ndarray, counts: np.ndarray, sent: np.ndarray, total: int, buckets: int) -> None:
+        """``contexts``: the context before the token at each of ``places``; ``hashes``, ``counts``, ``sent``: by context."""
+        size = np.uint64(len(tokens.distinct))
+        keys, of = np.unique(contexts.astype(np.uint64) * size + tokens.ids[places].astype(np.uint64), return_inverse=True)
+        context, word = (keys // size).astype(np.int64), (keys % size).astype(np.int64)
+        spread = np.maximum(1, -(-counts[context] * 4 * buckets // max(1, total))).astype(np.uint64)
+        stirred = C.mixed(hashes[context] + C.mixed(tokens.distinct[word]) % spread * np.uint64(0x9E3779B97F4A7C15))
         bucket = (stirred >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)
+        bucket[~sent[context]] = buckets
         order = np.argsort(bucket, kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        self.pair_of, self.first, self.last = rank[of], first[order], last[order]
-        self.bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        self.pair_counts = np.bincount(self.pair_of, weights=tokens.training[self.second], minlength=len(order)).astype(np.uint32)
-        follows = np.flatnonzero(tokens.scored[self.second - 1])  # bigrams whose first word is no start mark
-        self.third = self.second[follows]
-        triples = self.pair_of[follows - 1].astype(np.uint64) * size + ids[self.third]
-        keys, self.triple_of = np.unique(triples, return_inverse=True)
-        self.parent, self.word = (keys // size).astype(np.int64), (keys % size).astype(np.int64)
-        self.triple_counts = np.bincount(self.triple_of, weights=tokens.training[self.third], minlength=len(keys)).astype(np.uint32)
-        self.triple_bounds = np.searchsorted(self.parent, self.bounds)
-
-    def rows(self, tokens: Tokens, counts: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
-        top = tokens.distinct >> np.uint64(24)
-        children = np.bincount(self.parent, minlength=len(self.first))
-        for bucket in np.flatnonzero(np.diff(self.bounds)):
-            a, b = self.bounds[bucket : bucket + 2]
-            c, d = self.triple_bounds[bucket : bucket + 2]
-            new = np.flatnonzero(np.diff(self.first[a:b], prepend=-1))
-            heads = self.first[a:b][new]
-            keys = [tokens.distinct[heads].tobytes(), C.narrow(top[self.last[a:b]] << np.uint64(24)), (top[self.word[c:d]] >> np.uint64(8)).astype(np.uint32).tobytes()]
-            extra = [counts[heads].astype(np.uint64), np.diff(new, append=b - a).astype(np.uint64), self.pair_counts[a:b].astype(np.uint64), children[a:b].astype(np.uint64), self.triple_counts[c:d].astype(np.uint64)]
-            yield int(bucket), b"".join(keys), C.packed(np.concatenate([np.array([len(heads), b - a, d - c], np.uint64), *extra]))
-
+        self.of, self.context, self.word = rank[of], context[order], word[order]
+        self.bounds = np.searchsorted(bucket[order], np.arange(buckets + 2))
+        self.counts = np.bincount(self.of, weights=tokens.training[places], minlength=len(order)).astype(np.uint64)
+        self.hashes, self.context_counts, self.words = hashes, counts, tokens.distinct
 
-def answers(keys: list[bytes], extra: list[bytes], strength: tuple[float, float]) -> list[bytes]:
-    """Builds a bucket's trie and looks up the n-grams of each chunk: codes of its bigrams, then trigrams."""
-    heads, degrees, contexts, seconds, pair_counts, triple_degrees, thirds, triple_counts, shape = [], [], [], [], [], [], [], [], []
+    def rows(self) -> Iterator[tuple[int, bytes, bytes]]:
+        for bucket in np.flatnonzero(np.diff(self.bounds[:-1])):
+            a, b = self.bounds[bucket : bucket + 2]
+            new = np.flatnonzero(np.diff(self.context[a:b], prepend=-1))
+            heads = self.context[a:b][new]
+            keys = self.hashes[heads].tobytes() + C.narrow(self.words[self.word[a:b]])
+            extra = [self.context_counts[heads].astype(np.uint32), np.diff(new, append=b - a).astype(np.uint32), self.counts[a:b].astype(np.uint32)]
+            yield int(bucket), keys, C.packed(np.concatenate([np.array([len(heads), b - a], np.uint32), *extra]))
+
+    def codes(self, replies: pa.Table, strength: float) -> tuple[np.ndarray, np.ndarray]:
+        """Of each n-gram its code and whether another chunk has it."""
+        values = np.zeros(len(self.context), np.uint32)
+        for bucket, reply in zip(replies["bucket"].to_pylist(), replies["reply"].to_pylist(), strict=True):
+            values[self.bounds[bucket] : self.bounds[bucket + 1]] = C.unpacked(reply, np.uint32)
+        own = slice(self.bounds[-2], self.bounds[-1])
+        values[own] = code(self.counts[own] / (self.context_counts[self.context[own]] + strength))
+        return (values & 0xFFFF).astype(np.uint16), values >= 1 << 16
+
+
+def answers(keys: list[bytes], extra: list[bytes], strength: float) -> list[bytes]:
+    """Builds a bucket's trie and looks up each chunk's n-grams: their codes, plus 2^16 for those of several chunks."""
+    heads, degrees, contexts, words, counts, sizes = [], [], [], [], [], []
     for key, more in zip(keys, extra, strict=True):
-        numbers = C.unpacked(more, np.uint64).astype(np.int64)
-        n1, n2, n3 = numbers[:3].tolist()
-        shape.append((n2, n3))
-        heads.append(np.frombuffer(key, np.uint64, n1))
-        seconds.append(C.widened(key[8 * n1 : 8 * n1 + 5 * n2]))
-        thirds.append(np.frombuffer(key, np.uint32, n3, 8 * n1 + 5 * n2))
-        for into, part in zip((contexts, degrees, pair_counts, triple_degrees, triple_counts), np.split(numbers[3:], np.cumsum([n1, n1, n2, n2])), strict=True):
+        numbers = C.unpacked(more, np.uint32)
+        n, m = numbers[:2].tolist()
+        sizes.append(m)
+        heads.append(np.frombuffer(key, np.uint64, n))
+        words.append(C.widened(key[8 * n :]))
+        for into, part in zip((contexts, degrees, counts), np.split(numbers[2:], [n, 2 * n]), strict=True):
             into.append(part)
-    words, numbers = np.unique(np.concatenate(heads), return_inverse=True)
-    context = np.zeros(len(words))
+    distinct, numbers = np.unique(np.concatenate(heads), return_inverse=True)
+    context = np.zeros(len(distinct))
     context[numbers] = np.concatenate(contexts)
-    pairs, pair_of = np.unique(np.repeat(numbers, np.concatenate(degrees)).astype(np.uint64) << np.uint64(40) | np.concatenate(seconds), return_inverse=True)
-    pair_count = np.bincount(pair_of, weights=np.concatenate(pair_counts), minlength=len(pairs))
-    above = np.repeat(pair_of, np.concatenate(triple_degrees)).astype(np.uint64)
-    triples, triple_of = np.unique(above << np.uint64(32) | np.concatenate(thirds), return_inverse=True)
-    triple_count = np.bincount(triple_of, weights=np.concatenate(triple_counts), minlength=len(triples))
-    parent, second = (pairs >> np.uint64(40)).astype(np.int64), pairs & np.uint64((1 << 40) - 1)
-    grand, third = (triples >> np.uint64(32)).astype(np.int64), triples & np.uint64((1 << 32) - 1)
+    grams, of = np.unique(np.repeat(numbers, np.concatenate(degrees)).astype(np.uint64) << np.uint64(40) | np.concatenate(words), return_inverse=True)
+    count = np.bincount(of, weights=np.concatenate(counts), minlength=len(grams))
+    several = (np.bincount(of, minlength=len(grams)) > 1).astype(np.uint32) << np.uint32(16)
+    parent, word = (grams >> np.uint64(40)).astype(np.int64), grams & np.uint64((1 << 40) - 1)
+    held = count > 0
     with tempfile.TemporaryFile() as file:
-        held = pair_count > 0
-        two = Level(parent[held], second[held], code(pair_count[held] / (context[parent[held]] + strength[0])), len(words), file)
-        kept = triple_count > 0
-        number = np.cumsum(held) - 1  # a trigram in training has its bigram there
-        three = Level(number[grand[kept]], third[kept], code(triple_count[kept] / (pair_count[grand[kept]] + strength[1])), int(held.sum()), file)
-        place = two.find(parent, second)
-        codes2 = np.where(place >= 0, two.codes[np.maximum(place, 0)] if len(two.codes) else 0, 0).astype(np.uint16)
-        asked = np.flatnonzero(place[grand] >= 0)
-        codes3 = np.zeros(len(triples), np.uint16)
-        found = three.find(place[grand[asked]], third[asked])
-        codes3[asked[found >= 0]] = three.codes[found[found >= 0]]
-    out, a, c = [], 0, 0
-    for n2, n3 in shape:
-        out.append(C.packed(np.concatenate([codes2[pair_of[a : a + n2]], codes3[triple_of[c : c + n3]]])))
-        a, c = a + n2, c + n3
-    return out
+        trie = Level(parent[held], word[held], code(count[held] / (context[parent[held]] + strength)), len(distinct), file)
+        place = trie.find(parent, word)
+        found = np.zeros(len(grams), np.uint32)
+        found[place >= 0] = trie.codes[place[place >= 0]]
+    return [C.packed(x) for x in np.split((found | several)[of], np.cumsum(sizes)[:-1])]
+
+
+class Model:
+    """What a chunk knows after each exchange."""
+
+    def __init__(self, table: pa.Table, replies: pa.Table, totals: tuple[int, int], buckets: int, settings: Settings, hashes: WordHashes) -> None:
+        step = replies["step"].to_numpy()
+        self.replies = [replies.filter(pa.array(step == i)) for i in range(4)]
+        self.total, self.buckets, self.strength = totals[0], buckets, settings.strength
+        self.tokens = Tokens(table, hashes)
+        dealt = C.Dealt(self.tokens.distinct, buckets)
+        self.counts = dealt.gathered(self.replies[1], np.uint64, len(self.tokens.distinct)).astype(np.int64)
+
+    def pairs(self) -> Grams:
+        """Bigrams, in the order of all scored tokens."""
+        tokens = self.tokens
+        places = np.flatnonzero(tokens.scored)
+        return Grams(tokens, tokens.ids[places - 1], places, tokens.distinct, self.counts, np.ones(len(self.counts), bool), self.total, self.buckets)
+
+    def triples(self, pairs: Grams) -> tuple[np.ndarray, np.ndarray, Grams]:
+        """Bigram codes, trigrams in the order of ``follows``, the scored tokens that are not the first of their text."""
+        tokens = self.tokens
+        codes, several = pairs.codes(self.replies[2], self.strength[0])
+        places = np.flatnonzero(tokens.scored)
+        follows = np.flatnonzero(tokens.scored[places - 1])
+        counts = np.rint(decoded(codes) * (self.counts[pairs.context] + self.strength[0])).astype(np.int64)
+        hashes = C.mixed(tokens.distinct[pairs.context] * np.uint64(0xC2B2AE3D27D4EB4F) + C.mixed(tokens.distinct[pairs.word]))
+        # a count read off its code would differ between here and elsewhere only for pairs of one chunk
+        counts = np.where(several, counts, pairs.counts.astype(np.int64))
+        return codes, follows, Grams(tokens, pairs.of[follows - 1], places[follows], hashes, counts, several, self.total, self.buckets)
 
 
 def score(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -281,35 +299,32 @@ def score(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     totals = raw.where(first).select(F.substring("reply", 2, 16).alias("t")).toLocalIterator()
     summed = np.sum([np.frombuffer(bytes(r["t"]), np.uint64) for r in totals] or [np.zeros(2, np.uint64)], axis=0)
     n, v = int(summed[0]), int(summed[1])
-    replies = raw.withColumn("reply", F.expr("substring(reply, CASE WHEN substring(reply, 1, 1) = X'01' THEN 18 ELSE 2 END, length(reply))"))
+    counts = raw.withColumn("reply", F.expr("substring(reply, CASE WHEN substring(reply, 1, 1) = X'01' THEN 18 ELSE 2 END, length(reply))")).withColumn("step", F.lit(1))
+    s2, s3 = settings.strength
 
-    def grams(table: pa.Table, found: pa.Table, hashes: WordHashes) -> Iterator[tuple[int, bytes, bytes]]:
-        tokens = Tokens(table, hashes)
-        counts = C.Dealt(tokens.distinct, buckets).gathered(found, np.uint64, len(tokens.distinct)).astype(np.int64)
-        yield from Grams(tokens, counts, n, buckets).rows(tokens, counts)
+    def send_pairs(table: pa.Table, found: pa.Table, hashes: WordHashes) -> Iterator[tuple[int, bytes, bytes]]:
+        yield from Model(table, found, (n, v), buckets, settings, hashes).pairs().rows()
+
+    codes2 = scratch.write("codes-2", C.answer(C.send_again(chunks, counts, send_pairs), lambda keys, extra: answers(keys, extra, s2)))
+    known = counts.unionByName(codes2.withColumn("step", F.lit(2)))
 
-    codes = scratch.write("codes", C.answer(C.send_again(chunks, replies, grams), lambda keys, extra: answers(keys, extra, settings.strength)))
+    def send_triples(table: pa.Table, found: pa.Table, hashes: WordHashes) -> Iterator[tuple[int, bytes, bytes]]:
+        model = Model(table, found, (n, v), buckets, settings, hashes)
+        yield from model.triples(model.pairs())[2].rows()
+
+    codes3 = scratch.write("codes-3", C.answer(C.send_again(chunks, known, send_triples), lambda keys, extra: answers(keys, extra, s3)))
+    known = known.unionByName(codes3.withColumn("step", F.lit(3)))
 
     def finish(_: int, table: pa.Table, found: pa.Table, hashes: WordHashes) -> pa.Table:
-        step = found["step"].to_numpy()
-        tokens = Tokens(table, hashes)
-        counts = C.Dealt(tokens.distinct, buckets).gathered(found.filter(pa.array(step == 1)), np.uint64, len(tokens.distinct)).astype(np.int64)
-        own = Grams(tokens, counts, n, buckets)
-        pair_codes, triple_codes = np.zeros(len(own.first), np.uint16), np.zeros(len(own.parent), np.uint16)
-        second = found.filter(pa.array(step == 2))
-        for bucket, reply in zip(second["bucket"].to_pylist(), second["reply"].to_pylist(), strict=True):
-            (a, b), (c, d) = own.bounds[bucket : bucket + 2], own.triple_bounds[bucket : bucket + 2]
-            values = C.unpacked(reply, np.uint16)
-            pair_codes[a:b], triple_codes[c:d] = values[: b - a], values[b - a :]
-        s2, s3 = settings.strength
-        single = counts[tokens.ids[own.second]]
+        model = Model(table, found, (n, v), buckets, settings, hashes)
+        tokens, pairs = model.tokens, model.pairs()
+        pair_codes, follows, triples = model.triples(pairs)
+        single = model.counts[tokens.ids[tokens.scored]]
         base = np.log10((single + settings.added) / (n + settings.added * (v + 1))) if n else np.zeros(len(single))
-        before = counts[tokens.ids[own.second - 1]]
-        pair = decoded(pair_codes)[own.pair_of]
-        p = pair + s2 / (before + s2) * 10.0**base
-        pair_seen = np.rint(pair * (before + s2))  # c(u v), back from its code
-        follows = np.flatnonzero(tokens.scored[own.second - 1])
-        p[follows] = decoded(triple_codes)[own.triple_of] + s3 / (pair_seen[follows - 1] + s3) * p[follows]
+        before = model.counts[pairs.context[pairs.of]]
+        p = decoded(pair_codes)[pairs.of] + s2 / (before + s2) * 10.0**base
+        both = triples.context[triples.of]
+        p[follows] = decoded(triples.codes(model.replies[3], s3)[0])[triples.of] + s3 / (triples.context_counts[both] + s3) * p[follows]
         starts = np.cumsum(tokens.n_tokens) - tokens.n_tokens
         if n == 0:
             p = np.ones(len(p))
@@ -325,10 +340,9 @@ def score(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             }
         )
 
-    both = replies.withColumn("step", F.lit(1)).unionByName(codes.withColumn("step", F.lit(2)))
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    out = scratch.write("result", C.with_replies(chunks, both, finish, schema))
-    scratch.drop("chunks", "counts-raw", "codes")
+    out = scratch.write("result", C.with_replies(chunks, known, finish, schema))
+    scratch.drop("chunks", "counts-raw", "codes-2", "codes-3")
     return out
 
 
