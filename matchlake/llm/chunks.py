@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.text import Scratch, WordHashes, text_bytes
+from matchlake.llm.text import Scratch, WordHashes, mixed, text_bytes
 
 CHUNK = "chunk_id long, n_words long, documents binary"
 SENT = "bucket int, chunk_id long, keys binary, extra binary"
@@ -100,13 +100,6 @@ class Words:
         return np.cumsum(edges[:-1]) > 0
 
 
-def mixed(keys: np.ndarray) -> np.ndarray:
-    """The keys with their bits stirred, one to one."""
-    keys = keys ^ (keys >> np.uint64(32))
-    keys = keys * np.uint64(0xD6E8FEB86659FD93)
-    return keys ^ (keys >> np.uint64(29))
-
-
 def windows(hashes: np.ndarray, size: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
     """A 64-bit key of each run of so many hashes, put together from runs of powers of two."""
     if len(hashes) < size:
@@ -149,22 +142,22 @@ class Dealt:
 
 
 def packed(values: np.ndarray) -> bytes:
-    return zstandard.compress(values.tobytes(), 1)
+    return zstandard.compress(values.tobytes(), 3)
 
 
 def unpacked(data: bytes, dtype: type) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(data), dtype)
 
 
-def narrow(keys: np.ndarray) -> bytes:
-    """The upper 40 bits of each key; the bucket adds up to 24 of the lower ones."""
-    return np.ascontiguousarray(keys >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+def narrow(keys: np.ndarray, size: int = 5) -> bytes:
+    """The upper 8 * size bits of each key; the bucket adds up to 24 of the lower ones."""
+    return np.ascontiguousarray(keys >> np.uint64(64 - 8 * size)).view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
 
 
-def widened(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8).reshape(-1, 5)
+def widened(data: bytes, size: int = 5) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8).reshape(-1, size)
     out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :5] = raw
+    out[:, :size] = raw
     return out.view(np.uint64).ravel()
 
 

@@ -39,17 +39,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.llm import chunks as C
-from matchlake.llm.text import documents, short_lived_shuffles
+from matchlake.llm.text import Scanner, byte_values, documents, short_lived_shuffles
 
 _SLOTS = 1 << 18
 _BLOCKS = 64
-_PIECE = 1 << 18
-#: For each byte a random odd number, or 0 if it is no part of a word.
-_VALUES = np.where(
-    [i >= 128 or chr(i).isalnum() for i in range(256)], np.random.default_rng(2024).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1), np.uint64(0)
-)
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Letters, digits and non-ASCII bytes make words.
+_VALUES = byte_values([i >= 128 or chr(i).isalnum() for i in range(256)])
 
 
 @dataclass(frozen=True)
@@ -65,55 +60,6 @@ class Settings:
     seed: int = 7
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
-class Scanner:
-    """Hashes of the words of texts, straight from Arrow's buffers.
-
-    With powers of an odd base a word's polynomial hash is a difference of two running
-    sums times an inverse power, all modulo 2^64, so no word becomes a Python object.
-    """
-
-    def __init__(self) -> None:
-        self.powers, self.inverses = _powers(_BASE, _PIECE), _powers(_INVERSE, _PIECE)
-
-    def words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The words' hashes, end to end, and the number of words of each text."""
-        texts = pc.utf8_lower(pc.fill_null(texts, "")).cast(pa.large_string())
-        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
-        hashes, lengths, at = [], [np.zeros(0, np.int64)], 0
-        while at < len(texts):
-            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _PIECE, side="right")) - 1)
-            own, n = self._piece(data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at])
-            hashes.append(own)
-            lengths.append(n)
-            at = stop
-        return np.concatenate([np.zeros(0, np.uint64), *hashes]), np.concatenate(lengths)
-
-    def _piece(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        n = len(data)
-        if n > len(self.powers):
-            self.powers, self.inverses = _powers(_BASE, n), _powers(_INVERSE, n)
-        values = _VALUES[data]
-        inside = values != 0
-        begins, ends = inside.copy(), inside.copy()
-        begins[1:] &= ~inside[:-1]
-        ends[:-1] &= ~inside[1:]
-        bounds = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < n)]
-        begins[bounds] = inside[bounds]  # a text's first word is not the last one's end
-        ends[bounds - 1] = inside[bounds - 1]
-        begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values * self.powers[:n], out=sums[1:])
-        hashes = C.mixed((sums[ends] - sums[begins]) * self.inverses[begins])
-        return hashes, np.diff(np.searchsorted(begins, offsets))
-
-
 def _slots(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64(_SLOTS - 1)).astype(np.int64)
 
@@ -163,7 +109,7 @@ def word_counts(docs: DataFrame) -> np.ndarray:
     """Occurrences in all documents by slot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner, total = Scanner(), np.zeros(_SLOTS, np.int64)
+        scanner, total = Scanner(_VALUES, pc.utf8_lower), np.zeros(_SLOTS, np.int64)
         for batch in batches:
             for part in _slices(batch):
                 total += np.bincount(_slots(scanner.words(part.column(0))[0]), minlength=_SLOTS)
@@ -210,7 +156,7 @@ def _product(benchmark: DataFrame, known: np.ndarray, weights: np.ndarray, right
     size = right.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner, numbers, total = Scanner(), Numbers(known), np.zeros(size)
+        scanner, numbers, total = Scanner(_VALUES, pc.utf8_lower), Numbers(known), np.zeros(size)
         for batch in batches:
             for words in _split(*scanner.words(batch.column(0))):
                 if len(words):
@@ -224,7 +170,7 @@ def _product(benchmark: DataFrame, known: np.ndarray, weights: np.ndarray, right
 
 def fit(benchmark: DataFrame, rows: list, counts: np.ndarray, settings: Settings) -> Model | None:
     """The model of one block; ``rows`` are its (item_id, text, answer), ``benchmark`` the same as a frame of texts."""
-    scanner = Scanner()
+    scanner = Scanner(_VALUES, pc.utf8_lower)
     items, answers = (_split(*scanner.words(pa.array([row[i] for row in rows], pa.string()))) for i in (1, 2))
     answers = [answer if len(answer) else words[-settings.answer_words :] for answer, words in zip(answers, items, strict=True)]
     known = np.unique(np.concatenate(items))
@@ -275,7 +221,7 @@ class Searcher:
 
     def __init__(self, model: Model, settings: Settings) -> None:
         self.model, self.settings = model, settings
-        self.scanner, self.numbers = Scanner(), Numbers(model.known)
+        self.scanner, self.numbers = Scanner(_VALUES, pc.utf8_lower), Numbers(model.known)
         self.weighted = np.vstack([model.basis * model.weights[_SLOTS:, None], np.zeros((1, model.basis.shape[1]), np.float32)])
         self.squares = model.weights.astype(np.float64) ** 2
         self.sizes = np.array([len(x) for x in model.items])

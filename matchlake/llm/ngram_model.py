@@ -23,8 +23,8 @@ vanishes with the task: pointers from each context to its words, and the words a
 made monotone by their context's number.  Lookups are successor searches among the
 words of their context, in the order of the trie.
 
-Words and contexts are told apart by 64-bit hashes, the words of a context by 40 bits.
-Defined results: NULL and empty texts are just the end mark; a NULL doc_id
+Words are told apart by 64-bit hashes; within a bucket contexts are by 40 bits, and the
+words of a context by 32.  Defined results: NULL and empty texts are just the end mark; a NULL doc_id
 is not held out; without training texts N = V = 0 and every probability is 1; repeated
 rows count as often as they occur; further columns are not read.
 """
@@ -41,8 +41,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.llm import chunks as C
-from matchlake.llm.text import Scratch, WordHashes, documents, remainder, text_bytes
+from matchlake.llm.text import Scanner, Scratch, WordHashes, byte_values, documents, mixed, remainder
 
+#: Words are what stands between blanks, A-Z as a-z.
+_VALUES = byte_values([i not in (9, 10, 11, 12, 13, 32) for i in range(256)], {i: i + 32 for i in range(65, 91)})
 _START, _END = np.uint64(0x5157A27), np.uint64(0xE2D0F7E)
 _STEP, _LOWEST = 1 / 4096, 12.0
 
@@ -156,15 +158,15 @@ def decoded(codes: np.ndarray) -> np.ndarray:
 class Tokens:
     """A chunk's token sequence with start and end marks."""
 
-    def __init__(self, table: pa.Table, hashes: WordHashes) -> None:
-        words = C.Words([x.lower() for x in text_bytes(table["text"])], hashes)
-        self.n_tokens = words.lengths + 1
-        lengths = words.lengths + 2
+    def __init__(self, table: pa.Table) -> None:
+        hashes, counts = Scanner(_VALUES).words(table["text"].combine_chunks())
+        self.n_tokens = counts + 1
+        lengths = counts + 2
         ends = np.cumsum(lengths)
         self.sequence = np.empty(int(lengths.sum()), np.uint64)
         inner = np.ones(len(self.sequence), bool)
         inner[ends - 1] = inner[ends - lengths] = False
-        self.sequence[inner] = words.hashes
+        self.sequence[inner] = hashes
         self.sequence[ends - lengths], self.sequence[ends - 1] = _START, _END
         self.training = np.repeat(~table["held_out"].to_numpy().astype(bool), lengths)
         self.scored = np.ones(len(self.sequence), bool)
@@ -185,7 +187,7 @@ class Grams:
         keys, of = np.unique(contexts.astype(np.uint64) * size + tokens.ids[places].astype(np.uint64), return_inverse=True)
         context, word = (keys // size).astype(np.int64), (keys % size).astype(np.int64)
         spread = np.maximum(1, -(-counts[context] * 4 * buckets // max(1, total))).astype(np.uint64)
-        stirred = C.mixed(hashes[context] + C.mixed(tokens.distinct[word]) % spread * np.uint64(0x9E3779B97F4A7C15))
+        stirred = mixed(hashes[context] + mixed(tokens.distinct[word]) % spread * np.uint64(0x9E3779B97F4A7C15))
         bucket = (stirred >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)
         bucket[~sent[context]] = buckets
         order = np.argsort(bucket, kind="stable")
@@ -201,55 +203,59 @@ class Grams:
             a, b = self.bounds[bucket : bucket + 2]
             new = np.flatnonzero(np.diff(self.context[a:b], prepend=-1))
             heads = self.context[a:b][new]
-            keys = self.hashes[heads].tobytes() + C.narrow(self.words[self.word[a:b]])
+            keys = C.narrow(self.hashes[heads]) + C.narrow(self.words[self.word[a:b]], 4)
             extra = [self.context_counts[heads].astype(np.uint32), np.diff(new, append=b - a).astype(np.uint32), self.counts[a:b].astype(np.uint32)]
             yield int(bucket), keys, C.packed(np.concatenate([np.array([len(heads), b - a], np.uint32), *extra]))
 
     def codes(self, replies: pa.Table, strength: float) -> tuple[np.ndarray, np.ndarray]:
         """Of each n-gram its code and whether another chunk has it."""
-        values = np.zeros(len(self.context), np.uint32)
+        codes, several = np.zeros(len(self.context), np.uint16), np.zeros(len(self.context), bool)
         for bucket, reply in zip(replies["bucket"].to_pylist(), replies["reply"].to_pylist(), strict=True):
-            values[self.bounds[bucket] : self.bounds[bucket + 1]] = C.unpacked(reply, np.uint32)
+            a, b = self.bounds[bucket : bucket + 2]
+            data = C.unpacked(reply, np.uint8)
+            codes[a:b] = data[: 2 * (b - a)].view(np.uint16)
+            several[a:b] = np.unpackbits(data[2 * (b - a) :], count=b - a)
         own = slice(self.bounds[-2], self.bounds[-1])
-        values[own] = code(self.counts[own] / (self.context_counts[self.context[own]] + strength))
-        return (values & 0xFFFF).astype(np.uint16), values >= 1 << 16
+        codes[own] = code(self.counts[own] / (self.context_counts[self.context[own]] + strength))
+        return codes, several
 
 
 def answers(keys: list[bytes], extra: list[bytes], strength: float) -> list[bytes]:
-    """Builds a bucket's trie and looks up each chunk's n-grams: their codes, plus 2^16 for those of several chunks."""
+    """Builds a bucket's trie and looks up each chunk's n-grams: their codes, and one bit whether several chunks have them."""
     heads, degrees, contexts, words, counts, sizes = [], [], [], [], [], []
     for key, more in zip(keys, extra, strict=True):
         numbers = C.unpacked(more, np.uint32)
         n, m = numbers[:2].tolist()
         sizes.append(m)
-        heads.append(np.frombuffer(key, np.uint64, n))
-        words.append(C.widened(key[8 * n :]))
+        heads.append(C.widened(key[: 5 * n]))
+        words.append(C.widened(key[5 * n :], 4))
         for into, part in zip((contexts, degrees, counts), np.split(numbers[2:], [n, 2 * n]), strict=True):
             into.append(part)
     distinct, numbers = np.unique(np.concatenate(heads), return_inverse=True)
     context = np.zeros(len(distinct))
     context[numbers] = np.concatenate(contexts)
-    grams, of = np.unique(np.repeat(numbers, np.concatenate(degrees)).astype(np.uint64) << np.uint64(40) | np.concatenate(words), return_inverse=True)
+    grams, of = np.unique(np.repeat(numbers, np.concatenate(degrees)).astype(np.uint64) << np.uint64(32) | np.concatenate(words), return_inverse=True)
     count = np.bincount(of, weights=np.concatenate(counts), minlength=len(grams))
-    several = (np.bincount(of, minlength=len(grams)) > 1).astype(np.uint32) << np.uint32(16)
-    parent, word = (grams >> np.uint64(40)).astype(np.int64), grams & np.uint64((1 << 40) - 1)
+    several = np.bincount(of, minlength=len(grams)) > 1
+    parent, word = (grams >> np.uint64(32)).astype(np.int64), grams & np.uint64((1 << 32) - 1)
     held = count > 0
     with tempfile.TemporaryFile() as file:
         trie = Level(parent[held], word[held], code(count[held] / (context[parent[held]] + strength)), len(distinct), file)
         place = trie.find(parent, word)
-        found = np.zeros(len(grams), np.uint32)
+        found = np.zeros(len(grams), np.uint16)
         found[place >= 0] = trie.codes[place[place >= 0]]
-    return [C.packed(x) for x in np.split((found | several)[of], np.cumsum(sizes)[:-1])]
+    cuts = np.cumsum(sizes)[:-1]
+    return [C.packed(np.concatenate([x.view(np.uint8), np.packbits(y)])) for x, y in zip(np.split(found[of], cuts), np.split(several[of], cuts), strict=True)]
 
 
 class Model:
     """What a chunk knows after each exchange."""
 
-    def __init__(self, table: pa.Table, replies: pa.Table, totals: tuple[int, int], buckets: int, settings: Settings, hashes: WordHashes) -> None:
+    def __init__(self, table: pa.Table, replies: pa.Table, totals: tuple[int, int], buckets: int, settings: Settings) -> None:
         step = replies["step"].to_numpy()
         self.replies = [replies.filter(pa.array(step == i)) for i in range(4)]
         self.total, self.buckets, self.strength = totals[0], buckets, settings.strength
-        self.tokens = Tokens(table, hashes)
+        self.tokens = Tokens(table)
         dealt = C.Dealt(self.tokens.distinct, buckets)
         self.counts = dealt.gathered(self.replies[1], np.uint64, len(self.tokens.distinct)).astype(np.int64)
 
@@ -266,7 +272,7 @@ class Model:
         places = np.flatnonzero(tokens.scored)
         follows = np.flatnonzero(tokens.scored[places - 1])
         counts = np.rint(decoded(codes) * (self.counts[pairs.context] + self.strength[0])).astype(np.int64)
-        hashes = C.mixed(tokens.distinct[pairs.context] * np.uint64(0xC2B2AE3D27D4EB4F) + C.mixed(tokens.distinct[pairs.word]))
+        hashes = mixed(tokens.distinct[pairs.context] * np.uint64(0xC2B2AE3D27D4EB4F) + mixed(tokens.distinct[pairs.word]))
         # a count read off its code would differ between here and elsewhere only for pairs of one chunk
         counts = np.where(several, counts, pairs.counts.astype(np.int64))
         return codes, follows, Grams(tokens, pairs.of[follows - 1], places[follows], hashes, counts, several, self.total, self.buckets)
@@ -279,7 +285,7 @@ def score(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     chunks, buckets = C.write_chunks(docs.select("doc_id", "text", "held_out"), scratch, settings.layout)
 
     def count(table: pa.Table, hashes: WordHashes) -> Iterator[tuple[int, bytes, bytes]]:
-        tokens = Tokens(table, hashes)
+        tokens = Tokens(table)
         counts = tokens.counted()
         for bucket, index in C.Dealt(tokens.distinct, buckets):
             yield bucket, tokens.distinct[index].tobytes(), C.packed(counts[index].astype(np.uint64))
@@ -303,20 +309,20 @@ def score(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     s2, s3 = settings.strength
 
     def send_pairs(table: pa.Table, found: pa.Table, hashes: WordHashes) -> Iterator[tuple[int, bytes, bytes]]:
-        yield from Model(table, found, (n, v), buckets, settings, hashes).pairs().rows()
+        yield from Model(table, found, (n, v), buckets, settings).pairs().rows()
 
     codes2 = scratch.write("codes-2", C.answer(C.send_again(chunks, counts, send_pairs), lambda keys, extra: answers(keys, extra, s2)))
     known = counts.unionByName(codes2.withColumn("step", F.lit(2)))
 
     def send_triples(table: pa.Table, found: pa.Table, hashes: WordHashes) -> Iterator[tuple[int, bytes, bytes]]:
-        model = Model(table, found, (n, v), buckets, settings, hashes)
+        model = Model(table, found, (n, v), buckets, settings)
         yield from model.triples(model.pairs())[2].rows()
 
     codes3 = scratch.write("codes-3", C.answer(C.send_again(chunks, known, send_triples), lambda keys, extra: answers(keys, extra, s3)))
     known = known.unionByName(codes3.withColumn("step", F.lit(3)))
 
     def finish(_: int, table: pa.Table, found: pa.Table, hashes: WordHashes) -> pa.Table:
-        model = Model(table, found, (n, v), buckets, settings, hashes)
+        model = Model(table, found, (n, v), buckets, settings)
         tokens, pairs = model.tokens, model.pairs()
         pair_codes, follows, triples = model.triples(pairs)
         single = model.counts[tokens.ids[tokens.scored]]

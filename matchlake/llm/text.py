@@ -6,11 +6,12 @@ what ``bytes.split()`` gives, so other Unicode spaces stay inside words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,80 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+_PIECE = 1 << 18
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def mixed(keys: np.ndarray) -> np.ndarray:
+    """The keys with their bits stirred, one to one."""
+    keys = keys ^ (keys >> np.uint64(32))
+    keys = keys * np.uint64(0xD6E8FEB86659FD93)
+    return keys ^ (keys >> np.uint64(29))
+
+
+def byte_values(inside: list[bool], same: dict[int, int] | None = None) -> np.ndarray:
+    """For each byte a random odd number, or 0 if it is no part of a word; ``same`` maps bytes to others they equal."""
+    drawn = np.random.default_rng(2024).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+    for byte, other in (same or {}).items():
+        drawn[byte] = drawn[other]
+    return np.where(inside, drawn, np.uint64(0))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+class Scanner:
+    """Hashes of the words of texts, straight from Arrow's buffers.
+
+    With powers of an odd base a word's polynomial hash is a difference of two running
+    sums times an inverse power, all modulo 2^64, so no word becomes a Python object.
+    """
+
+    def __init__(self, values: np.ndarray, prepare: Callable[[pa.Array], pa.Array] | None = None) -> None:
+        """``values``: of each byte, 0 for those between words; ``prepare`` is applied to the texts first."""
+        self.values, self.prepare = values, prepare
+        self.powers, self.inverses = _powers(_BASE, _PIECE), _powers(_INVERSE, _PIECE)
+
+    def words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The words' hashes, end to end, and the number of words of each text."""
+        texts = pc.fill_null(texts, "")
+        if self.prepare:
+            texts = self.prepare(texts)
+        texts = texts.cast(pa.large_string())
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        hashes, lengths, at = [], [np.zeros(0, np.int64)], 0
+        while at < len(texts):
+            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _PIECE, side="right")) - 1)
+            own, n = self._piece(data[offsets[at] : offsets[stop]], offsets[at : stop + 1] - offsets[at])
+            hashes.append(own)
+            lengths.append(n)
+            at = stop
+        return np.concatenate([np.zeros(0, np.uint64), *hashes]), np.concatenate(lengths)
+
+    def _piece(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = len(data)
+        if n > len(self.powers):
+            self.powers, self.inverses = _powers(_BASE, n), _powers(_INVERSE, n)
+        values = self.values[data]
+        inside = values != 0
+        begins, ends = inside.copy(), inside.copy()
+        begins[1:] &= ~inside[:-1]
+        ends[:-1] &= ~inside[1:]
+        bounds = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < n)]
+        begins[bounds] = inside[bounds]  # a text's first word is not the last one's end
+        ends[bounds - 1] = inside[bounds - 1]
+        begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(values * self.powers[:n], out=sums[1:])
+        hashes = mixed((sums[ends] - sums[begins]) * self.inverses[begins])
+        return hashes, np.diff(np.searchsorted(begins, offsets))
+
+
 @contextmanager
 def short_lived_shuffles(spark: SparkSession) -> Iterator[None]:
     """Jobs run in here delete their shuffle files as soon as their query ends."""
