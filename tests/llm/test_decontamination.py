@@ -4,9 +4,10 @@ import re
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
-from matchlake.llm.decontamination import Scanner, Settings, _masks, common_subsequence, drop_contaminated, find_contamination, op6_decontaminate
+from matchlake.llm.decontamination import _VALUES, Scanner, Settings, _masks, common_subsequence, drop_contaminated, find_contamination, op6_decontaminate
 
 ITEM = "A zebra quietly painted seventeen crooked fences beside the frozen harbour while nobody watched the lighthouse burn"
 
@@ -59,7 +60,7 @@ def test_finds_every_planted_item(spark):
 
 def test_scanner_hashes_words_alike():
     texts = ["Ab, cd", "", "CD-ab é", None, "É", "ab", "x" * 300_000 + " ab"]
-    hashes, lengths = Scanner().words(pa.array(texts, pa.string()))
+    hashes, lengths = Scanner(_VALUES, pc.utf8_lower).words(pa.array(texts, pa.string()))
     assert lengths.tolist() == [2, 0, 3, 0, 1, 1, 2]
     ab, cd, cd2, ab2, e, e2, ab3, _, ab4 = hashes.tolist()
     assert ab == ab2 == ab3 == ab4 and cd == cd2 and e == e2 and len({ab, cd, e}) == 3
