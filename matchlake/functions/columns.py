@@ -17,6 +17,15 @@ BLANKS = (
 # Fixed value: a text that reads as a number.  Spark's own cast also takes Java
 # suffixes ("1.0f") and hexadecimal floats, which are not numbers here.
 NUMBER_TEXT = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)$"
+# How feeds write dates other than year first, and how to read them.
+DATE_FORMS = {
+    r"^\d{8}$": "yyyyMMdd",
+    r"^\d{1,2}/\d{1,2}/\d{4}$": "M/d/yyyy",
+    r"^[A-Za-z]{3} \d{1,2}, \d{4}$": "MMM d, yyyy",
+    r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$": "MMMM d, yyyy",
+    r"^\d{1,2} [A-Za-z]{3} \d{4}$": "d MMM yyyy",
+    r"^\d{1,2} [A-Za-z]{4,9} \d{4}$": "d MMMM yyyy",
+}
 # Fixed value: the en dash between the two halves of a score.
 SCORE_DASH = "\u2013"
 
@@ -38,8 +47,14 @@ def without_thousands(text: Column) -> Column:
 
 
 def coerce_date(text: Column) -> Column:
-    """Text or timestamp to date; what does not parse becomes NULL."""
-    return text.try_cast("timestamp").cast("date")
+    """Text or timestamp to date; what does not parse, or holds a time only, becomes NULL."""
+    stripped = strip_text(text.cast("string"))
+    year_first = F.when(stripped.rlike(r"^[+-]?\d{4}"), stripped.try_cast("timestamp"))
+    others = [
+        F.when(stripped.rlike(pattern), F.try_to_timestamp(stripped, F.lit(form)))
+        for pattern, form in DATE_FORMS.items()
+    ]
+    return F.coalesce(year_first, *others).cast("date")
 
 
 def number_or_zero(number: Column) -> Column:
@@ -49,8 +64,8 @@ def number_or_zero(number: Column) -> Column:
 
 
 def count_or_zero(number: Column) -> Column:
-    """NULL and NaN count as 0; fractions are cut off towards zero."""
-    return number_or_zero(number).cast("bigint")
+    """NULL, NaN and what no counter can hold count as 0; fractions are cut off towards zero."""
+    return F.coalesce(number_or_zero(number).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def count_where(condition: Column) -> Column:

@@ -91,7 +91,7 @@ def basketball_games(
 ) -> DataFrame:
     """Pair the two log rows of each game.
 
-    The latest row of each side is paired: one shuffle, and a game that is in the
+    The latest row of each side by ``recency`` is paired: one shuffle, and a game that is in the
     log a million times still gives one row.  ``every_copy`` pairs each copy with
     each copy instead; silver keeps one of them, the same as here.
     """

@@ -163,7 +163,11 @@ def football_players(
 def soccer_matches(
     bronze: DataFrame, lookup: DataFrame, recency: Sequence[str] = RECENCY
 ) -> DataFrame:
-    """One row per match; the id is a hash of season, time and canonical names."""
+    """One row per season, time and canonical names.
+
+    The id is the start of a hash of these four.  It is for show: rows are told
+    apart by the four themselves, so two matches whose ids collide both stay.
+    """
     bronze = _needed(bronze, "soccer_matches", recency)
     named = normalize_names(
         bronze, lookup, "soccer", {"home_team": "__home", "away_team": "__away"}
@@ -175,7 +179,7 @@ def soccer_matches(
         "match_id", hash_id(F.col("season"), kickoff, F.col("__home"), F.col("__away"))
     )
     return project(
-        deduplicate(identified, ["match_id"], recency),
+        deduplicate(identified, ["season", "match_date", "__home", "__away"], recency),
         schemas.gold("soccer_matches"),
         derived={
             "match_date": coerce_date(F.col("match_date")),

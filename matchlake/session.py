@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,12 +19,18 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
         base = tempfile.mkdtemp(prefix="matchlake-")
     return f"{base.rstrip('/')}/matchlake/{purpose}-{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it, wherever it is."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True if the path, or at least one match of a glob, exists."""
     jvm = spark._jvm

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake import schemas
 from matchlake.functions import slug
 from matchlake.operators import splits, standings
+from matchlake.session import drop_folder
 from matchlake.sources.scans import bronze_path, partition_columns, silver_path
 
 GOLD = "gold"
@@ -55,6 +58,7 @@ def write_snapshot(df: DataFrame, root: str, sport: str, dataset: str, date: str
 
     Only the seasons (and leagues) in ``df`` and only this day are replaced, so a
     second run on the same day takes the place of the first.  No rows, no change.
+    Rows are rebalanced by folder first, as in :func:`write_silver`.
     """
     counted = Observation()
     levels = partition_columns(sport)
@@ -62,7 +66,8 @@ def write_snapshot(df: DataFrame, root: str, sport: str, dataset: str, date: str
     if "league_slug" in levels:
         snapshot = snapshot.withColumn("league_slug", slug(F.col("league")))
     (
-        snapshot.observe(counted, F.count("*").alias("rows"))
+        snapshot.hint("rebalance", *levels)
+        .observe(counted, F.count("*").alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*levels)
@@ -75,9 +80,10 @@ def load_table(df: DataFrame, table: str, schema: str = GOLD, mode: str = "appen
     """Load rows into ``schema.table`` and return how many were loaded.
 
     ``append`` matches columns by name, fills absent ones with their defaults,
-    and creates the table if there is none.  ``replace`` writes a new table
-    first and swaps it in only when it is complete, so a failed job leaves the
-    old one.  An empty frame changes nothing.
+    and creates the table if there is none.  ``replace`` writes the new rows to a
+    folder of their own and points the table to it when they are complete, so a
+    failed job leaves the old rows and a reader always finds a table.  Only where
+    the columns change is the table itself made anew.  An empty frame changes nothing.
     """
     if mode not in ("append", "replace"):
         raise ValueError(f"mode must be 'append' or 'replace', not {mode!r}")
@@ -90,6 +96,8 @@ def load_table(df: DataFrame, table: str, schema: str = GOLD, mode: str = "appen
     if mode == "append" and exists:
         spark.sql(f"INSERT INTO {target} BY NAME SELECT * FROM {{rows}}", rows=rows)
         return counted.get["rows"]
+    if exists and _same_columns(spark.table(target), rows):
+        return _point_to(spark, target, rows, counted)
     spark.sql(f"DROP TABLE IF EXISTS {incoming}")
     rows.write.mode("overwrite").format("parquet").saveAsTable(incoming)
     if counted.get["rows"] == 0:
@@ -101,6 +109,29 @@ def load_table(df: DataFrame, table: str, schema: str = GOLD, mode: str = "appen
     return counted.get["rows"]
 
 
+def _same_columns(a: DataFrame, b: DataFrame) -> bool:
+    return [(f.name, f.dataType) for f in a.schema] == [(f.name, f.dataType) for f in b.schema]
+
+
+def _point_to(spark: SparkSession, target: str, rows: DataFrame, counted: Observation) -> int:
+    """Write the rows beside a table's files and make them the table's files."""
+    old = _location(spark, target)
+    new = f"{old.split('__rows_')[0]}__rows_{uuid.uuid4().hex[:12]}"
+    rows.write.parquet(new)
+    if counted.get["rows"] == 0:
+        drop_folder(spark, new)
+        return 0
+    spark.sql(f"ALTER TABLE {target} SET LOCATION '{new}'")
+    spark.catalog.refreshTable(target)
+    drop_folder(spark, old)
+    return counted.get["rows"]
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return described.first()["data_type"].rstrip("/")
+
+
 def row_counts(spark: SparkSession, *tables: str, schema: str = GOLD) -> DataFrame:
     """``(table, total_rows)`` of catalog tables, from the file footers alone."""
     counts = [

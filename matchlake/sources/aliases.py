@@ -1,7 +1,7 @@
 """The alias dimension: which names mean which team.
 
-Entries are rows ``(sport, canonical, source, alias, position)``.  No join here
-carries a broadcast hint.  A dimension of the usual size (some hundred rows) is
+Entries are rows ``(sport, canonical, source, alias, position)``; positions only
+need an order.  No join here carries a broadcast hint.  A dimension of the usual size (some hundred rows) is
 broadcast because Catalyst or AQE sees that it is below
 ``spark.sql.autoBroadcastJoinThreshold``; a larger one is joined by shuffle,
 where AQE splits the partition of a name that holds a third of all rows.
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,16 +25,24 @@ _NESTED = "map<string,map<string,map<string,string>>>"
 def alias_entries(
     spark: SparkSession, aliases: Mapping[str, Mapping[str, Mapping[str, str]]]
 ) -> DataFrame:
-    """Entries of a nested mapping sport -> canonical -> source -> alias."""
+    """Entries of a nested mapping sport -> canonical -> source -> alias.
+
+    They go to Spark as an Arrow table, which becomes a relation of known size: the
+    planner then broadcasts a lookup made of it if, and only if, it is below the
+    threshold.  Rows given as a list would have no size before they run, and every
+    row to be named would be shuffled on its name.
+    """
     rows = [
         (sport, canonical, source, alias)
         for sport, teams in aliases.items()
         for canonical, sources in teams.items()
         for source, alias in [(None, None), *sources.items()]
     ]
-    return spark.createDataFrame(
-        [(*row, position) for position, row in enumerate(rows)], ENTRY_SCHEMA
-    )
+    columns = list(zip(*[(*row, position) for position, row in enumerate(rows)])) or [[]] * 5
+    kinds = [pa.string()] * 4 + [pa.int64()]
+    names = ["sport", "canonical", "source", "alias", "position"]
+    table = pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+    return spark.createDataFrame(table, ENTRY_SCHEMA)
 
 
 def read_alias_json(spark: SparkSession, path: str) -> DataFrame:
@@ -48,10 +57,8 @@ def read_alias_json(spark: SparkSession, path: str) -> DataFrame:
         "p1", "p2", "sport", "canonical",
         F.posexplode_outer("sources").alias("p3", "source", "alias"),
     )
-    steps = F.lit(100_000)
-    position = (F.col("p1") * steps + F.col("p2")).cast("bigint") * steps + F.coalesce(
-        "p3", F.lit(0)
-    )
+    # A struct orders by its fields, whatever the number of teams and sources.
+    position = F.struct("p1", "p2", F.coalesce("p3", F.lit(0)).alias("p3"))
     return sources.select("sport", "canonical", "source", "alias", position.alias("position"))
 
 

@@ -6,7 +6,7 @@ footers first.  Filters and column choices reach the files either way.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,28 +68,81 @@ def scan_bronze(
     return found if date is None else found.where(F.col("date") == date)
 
 
+LANDED = "landed"
+_BROKEN = "_broken_line"
+
+
 def scan_landing(
-    spark: SparkSession, path: str, dataset: str, format: str = "json"
+    spark: SparkSession, path: str, dataset: str, format: str = "json", with_landed: bool = False
 ) -> DataFrame:
     """Files as a feed delivers them, in JSON lines, CSV with a header, or Parquet.
 
-    A column that the files lack is NULL.  CSV columns are matched by name.
+    A column that the files lack is NULL.  CSV columns are matched by name, file by
+    file.  Values of JSON and CSV are read as text and typed afterwards, so a whole
+    number written as ``110.0`` is one.  JSON lines that do not parse are left out;
+    :func:`broken_lines` counts them.  ``with_landed`` adds ``landed``, the time and
+    name of the file, by which later rows can be told from earlier ones.
     """
     schema = schemas.raw(dataset)
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no landing files at {path}")
     if format == "csv":
-        texts = spark.read.option("header", True).csv(path)
-        known = {name.lower(): name for name in texts.columns}
-        return texts.select(
-            *[
-                (
-                    F.col(f"`{known[f.name.lower()]}`") if f.name.lower() in known else F.lit(None)
-                ).try_cast(f.dataType).alias(f.name)
-                for f in schema
-            ]
-        )
-    return spark.read.schema(schema).format(format).load(path)
+        parts = [
+            _typed(spark.read.option("header", True).csv(files), schema, with_landed)
+            for files in _files_by_header(spark, path)
+        ]
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.unionByName(part)
+        return whole
+    if format == "json":
+        lines = _json_lines(spark, path, schema).where(F.col(_BROKEN).isNull())
+        return _typed(lines, schema, with_landed)
+    found = spark.read.schema(schema).format(format).load(path)
+    return found.select(*schema.names, *([_landed()] if with_landed else []))
+
+
+def broken_lines(spark: SparkSession, path: str) -> int:
+    """How many JSON lines below the path do not parse."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.where(F.try_parse_json("value").isNull()).count()
+
+
+def _json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    reader = spark.read.schema(texts.add(_BROKEN, T.StringType()))
+    return reader.option("columnNameOfCorruptRecord", _BROKEN).json(path)
+
+
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """Groups of CSV files with one header; the first line of each file is all that counts."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    first = lines.where("file_block_start = 0").withColumn("i", F.monotonically_increasing_id())
+    headers = first.groupBy("file_path").agg(F.min_by("value", "i").alias("header"))
+    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
+    found = [row["files"] for row in groups.orderBy("header").collect()]
+    return found if len(found) > 1 else [[path]]
+
+
+def _landed() -> Column:
+    return F.struct("_metadata.file_modification_time", "_metadata.file_path").alias(LANDED)
+
+
+def _typed(texts: DataFrame, schema: T.StructType, with_landed: bool) -> DataFrame:
+    known = {name.lower(): name for name in texts.columns}
+
+    def value(field: T.StructField) -> Column:
+        if field.name.lower() not in known:
+            return F.lit(None).cast(field.dataType)
+        text = F.col(f"`{known[field.name.lower()]}`")
+        if not isinstance(field.dataType, T.IntegralType):
+            return text.try_cast(field.dataType)
+        number = text.try_cast("double")
+        whole = F.when(number == F.floor(number), number.try_cast(field.dataType))
+        return F.coalesce(text.try_cast(field.dataType), whole)
+
+    columns = [value(field).alias(field.name) for field in schema]
+    return texts.select(*columns, *([_landed()] if with_landed else []))
 
 
 def one_player(log: DataFrame, player_id: int) -> DataFrame:

@@ -162,3 +162,27 @@ def test_any_text_survives_rendering(rows, hidden):
     (found,) = page_tables._tables_of(page)
     assert found["grid"] == rows
     assert (found["headers"], found["in_comment"]) == (["A", "B", "C"], hidden)
+
+
+def test_broken_markup_loses_no_cell_and_takes_linear_time():
+    import time
+
+    from matchlake.operators.page_tables import _tables_of
+
+    def grid(html):
+        return [t["grid"] for t in _tables_of(html)]
+
+    head = "<table id=x><tr><th>a</th><th>b</th></tr>"
+    assert grid(f"{head}<tr><td title='it's'>1</td><td>2</td></tr></table>") == [[["1", "2"]]]
+    assert grid(f"<!-- x {head}<tr><td>1</td><td>2</td></tr></table>") == [[["1", "2"]]]
+    assert grid(f"{head}<tr><td>1</td><td>2</td></tr></table><script>var x = '<table>'") == [[["1", "2"]]]
+    assert grid(f"<title>t</title>{head}<tr><td>1</td></tr></table>") == [[["1"]]]
+
+    def seconds(html):
+        start = time.perf_counter()
+        _tables_of(html)
+        return time.perf_counter() - start
+
+    for piece in ("<td title='x>1</td>", '<td title="x>1</td>', "<!-- x ", "<title ", "<script>x", "<table"):
+        small, large = (seconds(head + piece * n) for n in (4_000, 32_000))
+        assert large < 0.2 + 20 * small

@@ -265,3 +265,22 @@ def test_union_of_drifted_frames(spark):
     assert sorted(map(tuple, union.collect())) == [(1, 5.0, None), (2, 5.5, None)]
     wide = projection.union_by_name([whole, broken])
     assert wide.columns == ["id", "score", "extra"]
+
+
+def test_dates_overflow_and_times(spark):
+    texts = ["2024-09-14", "2024-09-14 12:30:00", "Sep 14, 2024", "September 14, 2024", "09/14/2024", "20240914", "14 Sep 2024"]
+    rows = spark.createDataFrame([(x,) for x in [*texts, "12:30", "TBD", None, "09/31/2024"]], "t string")
+    found = [r[0] for r in rows.select(fn.coerce_date(F.col("t"))).collect()]
+    assert [str(x) for x in found[:7]] == ["2024-09-14"] * 7 and found[7:] == [None] * 4
+    numbers = spark.createDataFrame([(float("inf"),), (1e30,), (-2.9,), (None,)], "x double")
+    assert [r[0] for r in numbers.select(fn.count_or_zero(F.col("x"))).collect()] == [0, 0, -2, 0]
+
+
+def test_matches_with_one_id_both_stay(spark, monkeypatch):
+    monkeypatch.setattr(silver, "hash_id", lambda *parts: F.lit("0" * 12))
+    contract = schemas.bronze("soccer/matches")
+    base = {f.name: None for f in contract} | {"season": "s", "away_team": "b"}
+    rows = spark.createDataFrame([base | {"home_team": x} for x in ("a", "c", "a")], contract)
+    lookup = aliases.alias_lookup(aliases.alias_entries(spark, {}))
+    found = silver.soccer_matches(rows, lookup).collect()
+    assert sorted((r.match_id, r.home_team) for r in found) == [("0" * 12, "a"), ("0" * 12, "c")]

@@ -288,3 +288,88 @@ def test_incremental_refresh_equals_the_batch_and_replays(spark, tmp_path):
     snapshot("d3", game("s1", "a", 9, 0))
     assert refresh() == [("s1", "a", 2), ("s1", "c", 3), ("s2", "b", 1)]
     assert refresh() == [("s1", "a", 2), ("s1", "c", 3), ("s2", "b", 1)]
+
+
+def test_incremental_refresh_keeps_null_seasons_and_moves_games(spark, tmp_path):
+    contract = schemas.bronze("basketball/games")
+    lookup = aliases.alias_lookup(aliases.alias_entries(spark, NAMES))
+
+    def project(snapshots):
+        return silver.basketball_games(snapshots, lookup)
+
+    def silver_rows():
+        found = scans.scan_silver(
+            spark, f"{tmp_path}/silver", "basketball", "games", schemas.gold("nba_games")
+        )
+        return sorted((r.season or "", r.game_id, r.home_score) for r in found.collect())
+
+    def arrive(date, *rows):
+        games = [
+            {f.name: None for f in contract}
+            | {
+                "extract_timestamp": dt.datetime(2024, 1, 1, hour), "season": season,
+                "game_id": game_id, "home_team_name": "LA Lakers", "home_score": hour,
+            }
+            for season, game_id, hour in rows
+        ]
+        df = spark.createDataFrame(games, contract)
+        writers.write_snapshot(df, f"{tmp_path}/bronze", "basketball", "games", date)
+        refresh_silver(
+            spark, f"{tmp_path}/bronze", f"{tmp_path}/silver", "basketball", "games", project,
+            f"{tmp_path}/progress", key=["game_id"],
+        )
+        batch = project(scans.scan_bronze(spark, f"{tmp_path}/bronze", "basketball", "games"))
+        assert silver_rows() == sorted(
+            (r.season or "", r.game_id, r.home_score) for r in batch.collect()
+        )
+
+    arrive("d1", ("s1", "a", 1), (None, "a2", 1))
+    assert silver_rows() == [("", "a2", 1), ("s1", "a", 1)]
+    arrive("d2", ("s2", "a", 2), (None, "b", 2))  # its only game leaves s1
+    assert silver_rows() == [("", "a2", 1), ("", "b", 2), ("s2", "a", 2)]
+    arrive("d3", ("s1", "c", 3))  # an old copy of a in s1 does not come back
+    assert silver_rows() == [("", "a2", 1), ("", "b", 2), ("s1", "c", 3), ("s2", "a", 2)]
+
+
+def test_csv_files_with_columns_in_another_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("game_id,home_team,away_team,home_score,away_score\ng1,KC,PHI,20.0,10\n")
+    (tmp_path / "b.csv").write_text("away_score,away_team,game_id,home_score,home_team\n7,KC,g2,3,PHI\n")
+    found = scans.scan_landing(spark, str(tmp_path), "schedules", "csv")
+    rows = sorted((r.game_id, r.home_team, r.away_team, r.home_score, r.away_score) for r in found.collect())
+    assert rows == [("g1", "KC", "PHI", 20, 10), ("g2", "PHI", "KC", 3, 7)]
+
+
+def test_json_numbers_written_as_floats_and_broken_lines(spark, tmp_path):
+    lines = ['{"GAME_ID": "g", "PTS": 110.0}', '{"GAME_ID": "h", "PTS": 1.5}', '{"GAME_ID": "i", "PTS', ""]
+    (tmp_path / "log.json").write_text("\n".join(lines))
+    found = scans.scan_landing(spark, str(tmp_path), "team_game_log", with_landed=True).collect()
+    assert sorted((r.GAME_ID, r.PTS) for r in found) == [("g", 110), ("h", None)]
+    assert all(r.landed.file_path.endswith("log.json") for r in found)
+    assert scans.broken_lines(spark, str(tmp_path)) == 1
+
+
+def test_replace_keeps_a_table_for_readers(spark, schema):
+    writers.load_table(spark.range(3), "t", schema, "replace")
+    reader = spark.table(f"{schema}.t")
+    assert writers.load_table(spark.range(5), "t", schema, "replace") == 5
+    assert spark.table(f"{schema}.t").count() == 5 and reader.columns == ["id"]
+    assert writers.load_table(spark.range(0), "t", schema, "replace") == 0
+    assert spark.table(f"{schema}.t").count() == 5
+    writers.load_table(spark.range(2).selectExpr("id", "id AS more"), "t", schema, "replace")
+    assert spark.table(f"{schema}.t").columns == ["id", "more"]
+
+
+def test_refine_broadcasts_its_own_lookup_below_the_limit_only(spark):
+    lookup = aliases.alias_lookup(aliases.alias_entries(spark, NAMES))
+    rows = spark.range(1000).selectExpr("concat('team ', id % 7) AS team")
+    named = aliases.normalize_names(rows, lookup, "basketball", {"team": "name"})
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(lower(btrim(team" not in plan
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = aliases.normalize_names(rows, lookup, "basketball", {"team": "name"})
+        assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.name for r in shuffled.collect()) == sorted(r.name for r in named.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
