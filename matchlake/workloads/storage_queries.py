@@ -61,7 +61,7 @@ def _scan_partition_pruned(spark, d):
 def _landing_json(spark, d):
     path = f"{shared_folder(spark, 'landing')}/player_game_log"
     rq._raw_player_log(spark, d).write.json(path)
-    return scans.scan_landing(spark, path, "player_game_log", "json").where("PTS >= 10")
+    return scans.scan_landing(spark, path, "player_game_log", "json")
 
 
 def _landing_csv(spark, d):
@@ -239,6 +239,7 @@ def _incremental_refresh(spark, d):
             "games",
             lambda snapshots: silver.basketball_games(snapshots, lookup),
             f"{root}/progress",
+            key=["game_id"],
         )
     return scans.scan_silver(
         spark, f"{root}/silver", "basketball", "games", schemas.gold("nba_games")
@@ -289,7 +290,7 @@ ORACLES = {
                l_suppkey % 4 AS BLK, l_partkey % 6 AS TOV, l_suppkey % 9 AS FGM,
                l_suppkey % 19 AS FGA, l_partkey % 4 AS FG3M, l_partkey % 11 AS FG3A,
                l_suppkey % 5 AS FTM, l_suppkey % 8 AS FTA, l_quantity - 25 AS PLUS_MINUS
-        FROM lineitem WHERE l_quantity >= 10""",
+        FROM lineitem""",
     "landing_csv": f"""WITH {fx.GAMES_SQL}
         SELECT CAST(game_id AS VARCHAR) AS game_id, CAST(week AS BIGINT) AS week,
                CAST(game_date AS VARCHAR) AS gameday, home_team, away_team,
