@@ -58,6 +58,12 @@ def _scan_partition_pruned(spark, d):
     )
 
 
+_CSV_COLUMNS = (
+    "game_id", "week", "gameday", "home_team", "away_team", "home_score", "away_score",
+    "overtime", "game_type", "spread_line", "result",
+)
+
+
 def _landing_json(spark, d):
     path = f"{shared_folder(spark, 'landing')}/player_game_log"
     rq._raw_player_log(spark, d).write.json(path)
@@ -67,10 +73,27 @@ def _landing_json(spark, d):
 def _landing_csv(spark, d):
     path = f"{shared_folder(spark, 'landing')}/schedules"
     rq._schedule(spark, d).drop("overtime").write.option("header", True).csv(path)
-    return scans.scan_landing(spark, path, "schedules", "csv").select(
-        "game_id", "week", "gameday", "home_team", "away_team", "home_score", "away_score",
-        "overtime", "game_type", "spread_line", "result",
-    )
+    return scans.scan_landing(spark, path, "schedules", "csv").select(*_CSV_COLUMNS)
+
+
+def _landing_csv_mixed(spark, d):
+    """Files of one feed whose columns stand in different orders."""
+    path = f"{shared_folder(spark, 'landing')}/schedules"
+    rows = rq._schedule(spark, d).drop("overtime")
+    even = F.col("game_id").cast("bigint") % 2 == 0
+    rows.where(even).write.option("header", True).csv(path)
+    turned = rows.where(~even).select(*reversed(rows.columns))
+    turned.write.mode("append").option("header", True).csv(path)
+    return scans.scan_landing(spark, path, "schedules", "csv").select(*_CSV_COLUMNS)
+
+
+def _landing_json_floats(spark, d):
+    """Whole numbers as a feed with gaps writes them: 110.0."""
+    path = f"{shared_folder(spark, 'landing')}/player_game_log"
+    log = rq._raw_player_log(spark, d)
+    whole = {f.name: F.col(f.name).cast("double") for f in log.schema if f.dataType.typeName() == "long"}
+    log.withColumns(whole).write.json(path)
+    return scans.scan_landing(spark, path, "player_game_log", "json")
 
 
 def _one_player(spark, d):
@@ -221,6 +244,27 @@ def _gold_rollups(spark, d):
     return spark.table(f"{schema}.soccer_head_to_head")
 
 
+def _catalog_object(name, table, rows):
+    """A view or rollup of the catalog over a base table loaded from the fixtures."""
+
+    def query(spark, d):
+        schema = _fresh_schema(spark)
+        writers.load_table(rows(spark, d), table, schema, "replace")
+        jobs.build_gold(spark, jobs.Lake("", "", "", schema=schema))
+        return spark.table(f"{schema}.{name}")
+
+    return query
+
+
+def _execute(spark, d):
+    """A statement run for its effect on a loaded table."""
+    schema, orders = _fresh_schema(spark), _orders(spark, d)
+    writers.load_table(orders.where("season < '1996'"), "games", schema, "replace")
+    statement = f"INSERT INTO {schema}.games BY NAME SELECT * FROM {schema}.games WHERE status = 'F'"
+    writers.execute(spark, statement)
+    return writers.query(spark, f"SELECT status, count(*) AS n FROM {schema}.games GROUP BY status")
+
+
 def _incremental_refresh(spark, d):
     """Silver games after two rounds of snapshots; the second corrects the first."""
     root = shared_folder(spark, "incremental")
@@ -246,6 +290,20 @@ def _incremental_refresh(spark, d):
     )
 
 
+# Key -> (view or rollup, base table, its rows), and the query with the same result.
+_CATALOG = {
+    "view_recent_form": (("v_soccer_recent_form", "soccer_matches", fx.matches), "home_form_summary"),
+    "view_team_summary": (("v_nba_team_summary", "nba_games", fx.games), "home_avg_summary"),
+    "view_nba_standings": (("v_nba_standings", "nba_games", fx.games), "winpct_standings"),
+    "view_nfl_standings": (("v_nfl_standings", "nfl_games", fx.games), "winpct_standings_ties"),
+    "view_soccer_splits": (
+        ("v_soccer_home_away_splits", "soccer_matches", fx.matches), "home_away_splits",
+    ),
+    "view_nba_splits": (("v_nba_home_away_splits", "nba_games", fx.games), "home_away_splits_avg"),
+    "rollup_form": (("soccer_team_form", "soccer_matches", fx.matches), "team_form"),
+    "rollup_form_avg": (("nba_team_form", "nba_games", fx.games), "team_form_avg"),
+}
+
 QUERIES = {
     "scan_single": _scan_single,
     "scan_tree": _scan_tree,
@@ -268,6 +326,10 @@ QUERIES = {
     "medallion_refresh": _medallion_refresh,
     "medallion_soccer": _medallion_soccer,
     "incremental_refresh": _incremental_refresh,
+    "landing_csv_mixed": _landing_csv_mixed,
+    "landing_json_floats": _landing_json_floats,
+    "execute": _execute,
+    **{key: _catalog_object(*source) for key, (source, _) in _CATALOG.items()},
 }
 
 _GAME_BRONZE_SQL = rq._latest_sql(rq._GAME_COLUMNS, ["game_id"])
@@ -400,3 +462,10 @@ ORACLES = {
                home_score > away_score AS home_win, home_score + away_score AS total_points
         FROM latest""",
 }
+
+ORACLES |= {key: gq.ORACLES[same] for key, (_, same) in _CATALOG.items()}
+ORACLES["landing_csv_mixed"] = ORACLES["landing_csv"]
+ORACLES["landing_json_floats"] = ORACLES["landing_json"]
+ORACLES["execute"] = f"""WITH o AS ({_ORDERS_SQL})
+    SELECT status, count(*) * CASE status WHEN 'F' THEN 2 ELSE 1 END AS n
+    FROM o WHERE season < '1996' GROUP BY status"""
