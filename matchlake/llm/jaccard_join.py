@@ -335,11 +335,12 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     roots = set_components(distinct, scratch, settings).withColumnRenamed("node", "set_key")
     linked = sets.where("set_key IS NOT NULL").select("doc_id", "n_shingles", "set_key").join(roots, "set_key", "left")
     linked = scratch.write("linked-documents", linked.select("doc_id", "n_shingles", F.coalesce("root", "set_key").alias("root")))
-    smallest = linked.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # written first, so that the join has a shuffle of its own on either side and Spark can split a hot component
+    smallest = scratch.write("smallest", linked.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     together = linked.join(smallest, "root").select("doc_id", "n_shingles", "component_id")
     alone = sets.where("set_key IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     out = scratch.write("result", alone.unionByName(together))
-    scratch.drop("sets", "distinct", "linked-documents", "links", "links-across")
+    scratch.drop("sets", "distinct", "linked-documents", "smallest", "links", "links-across")
     return out
 
 
