@@ -42,7 +42,7 @@ def text_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hashes of words, remembered for the words seen most recently."""
 
-    LIMIT = 1_000_000
+    LIMIT = 250_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
