@@ -3,6 +3,8 @@
 Every whole text is scanned by three patterns.  Then a worklist unwraps it: percent
 escapes, Unicode escapes and base64 runs, whose bytes may themselves be compressed,
 become further layers, each scanned and unwrapped again until nothing new appears.
+A base64 run is in either alphabet, may be wrapped into lines (of 16 or more characters)
+and may be glued to a path or a name; bytes that are no text are scanned as Latin-1.
 A layer already seen in the document is not entered twice, which also ends cycles.
 Each layer knows, for every character, which characters of the original text it came
 from, so a secret found deep inside is reported at the place of its wrapping.
@@ -20,13 +22,14 @@ is read and the result's columns are fixed.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import lzma
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +45,12 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}")
-_BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+#: Either alphabet, over line breaks.
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)*={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+#: No secret and no encoding of one is without so many ASCII characters in a row.
+_ASCII = re.compile(rb"[\t-\r\x20-\x7e]{16}")
+_COMPRESSED = re.compile(rb"\x1f\x8b\x08|\x28\xb5\x2f\xfd|BZh[1-9](?=1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|[\x08\x18\x28\x38\x48\x58\x68\x78](?=[\x00-\xff])")
 
 Span = tuple[int, int, int]  # start, place of the kind in KINDS, end
 
@@ -92,41 +100,97 @@ class Layer:
         return Layer(new, np.full(len(new), a), np.full(len(new), b))
 
 
-def _readable(raw: bytes) -> str | None:
-    """The bytes as text, if they are text."""
+def _text(raw: bytes) -> str:
+    try:
+        return raw.decode()
+    except UnicodeDecodeError:
+        return raw.decode("latin-1")
+
+
+def _clean(raw: bytes) -> bool:
+    """Whether the bytes are text and nothing else."""
     try:
         text = raw.decode()
     except UnicodeDecodeError:
-        return None
-    control = sum(x < " " and x not in "\t\n\r\f\v" or x == "\x7f" for x in text)
-    return text if text and control == 0 else None
+        return False
+    return not any(x < " " and x not in "\t\n\r\f\v" or x == "\x7f" for x in text)
+
+
+class _Zstd:
+    """A zstandard frame, read like the other formats; a few input bytes at a time, so that no call gives much."""
 
+    def __init__(self) -> None:
+        self.coder, self.unused_data = zstandard.ZstdDecompressor().decompressobj(), b""
 
-def _expanded(raw: bytes, limit: int) -> bytes | None:
-    """Decompressed bytes, cut at the limit plus one; None if they are not compressed."""
+    @property
+    def eof(self) -> bool:
+        return self.coder.eof
+
+    def decompress(self, raw: bytes, most: int) -> bytes:
+        out, at, total = [], 0, 0
+        while at < len(raw) and not self.coder.eof and total < most:
+            out.append(self.coder.decompress(raw[at : at + 256]))
+            total += len(out[-1])
+            at += 256
+        self.unused_data = self.coder.unused_data + raw[at:]
+        return b"".join(out)
+
+
+def _coder(raw: bytes):
+    if raw[:1] == b"\x28" and raw[1:4] == b"\xb5\x2f\xfd":
+        return _Zstd()
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if raw[:1] == b"\xfd":
+        return lzma.LZMADecompressor(memlimit=256_000_000)
+    return zlib.decompressobj(47)
+
+
+def _expanded(raw: bytes, limit: int) -> tuple[bytes, int, bool] | None:
+    """Decompressed bytes, cut at the limit plus one, how many bytes they came from, and whether those had an end; None if they are not compressed."""
+    coder = _coder(raw)
     try:
-        if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78":
-            return zlib.decompressobj(47).decompress(raw, limit + 1)
-        if raw[:4] == b"\x28\xb5\x2f\xfd":
-            return zstandard.ZstdDecompressor().stream_reader(raw).read(limit + 1)
-        if raw[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(raw, limit + 1)
-        if raw[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor(memlimit=256_000_000).decompress(raw, limit + 1)
+        out = coder.decompress(raw, limit + 1)
     except (zlib.error, zstandard.ZstdError, OSError, EOFError, lzma.LZMAError, ValueError):
-        pass
-    return None
+        return None
+    return out, len(raw) - len(coder.unused_data), coder.eof
 
 
-def _plain(raw: bytes, settings: Settings) -> tuple[str | None, bool]:
-    """Bytes of a base64 run as text, through any compression; whether a limit was met."""
-    seen = set()
-    while (inner := _expanded(raw, settings.max_layer_bytes)) is not None and inner and inner not in seen:
-        if len(inner) > settings.max_layer_bytes:
-            return None, True
-        seen.add(raw)
-        raw = inner
-    return _readable(raw), False
+def _starts(raw: bytes) -> Iterator[int]:
+    """Where compressed data may begin: two bytes are a zlib header if they divide by 31, and name no dictionary."""
+    for m in _COMPRESSED.finditer(raw):
+        i = m.start()
+        if m.end() > i + 1 or (raw[i] * 256 + raw[i + 1]) % 31 == 0 and not raw[i + 1] & 32:
+            yield i
+
+
+class Budget:
+    """What a document may still expand to."""
+
+    def __init__(self, settings: Settings) -> None:
+        self.layer, self.left = settings.max_layer_bytes, settings.max_document_bytes
+
+
+def _streams(raw: bytes, budget: Budget) -> Iterator[tuple[int, int, bytes | None]]:
+    """(start, end, expanded bytes) of the compressed data in the bytes, also in what they expand to; None where a limit was met."""
+    work = [(raw, None)]
+    while work:
+        data, place = work.pop()
+        after = 0
+        for start in _starts(data):
+            if start < after:
+                continue
+            if (found := _expanded(data[start:] if start else data, min(budget.layer, max(0, budget.left)))) is None or not found[0]:
+                continue
+            inner, used, ended = found
+            after = start + used if ended else 0
+            budget.left -= len(inner)
+            a, b = place or (start, start + used)
+            if len(inner) > budget.layer or budget.left < 0:
+                yield a, b, None
+            else:
+                yield a, b, inner
+                work.append((inner, (a, b)))
 
 
 def _percent(m: re.Match[str]) -> str | None:
@@ -136,17 +200,47 @@ def _percent(m: re.Match[str]) -> str | None:
         return None
 
 
-def _base64(m: re.Match[str]) -> bytes | None:
-    body = m[0].rstrip("=")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body.translate({45: 43, 95: 47}) + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
-
-
-def unwrap(layer: Layer, settings: Settings) -> Iterator[Layer | None]:
+def _base64(layer: Layer, start: int, run: str, budget: Budget) -> Iterator[Layer | None]:
+    """The layers of one run, which may be wrapped and may have anything of its alphabet before or behind the encoding.
+
+    The encoding may begin at any character, so unless the run is text or compressed as a whole
+    it is decoded from each of the first four.
+    """
+    lines = [(m.start(), m[0]) for m in re.finditer(r"[^\s=]+", run)]
+    body = "".join(x for _, x in lines).translate({45: 43, 95: 47})
+    firsts = list(accumulate((len(x) for _, x in lines), initial=0))
+
+    def place(i: int) -> int:
+        line = bisect_right(firsts, i, 0, len(lines)) - 1
+        return start + lines[line][0] + i - firsts[line]
+
+    begins = None
+    for phase in range(4):
+        part = body[phase:]
+        part = part[: len(part) - (len(part) % 4 == 1)]
+        raw = base64.b64decode(part + "=" * (-len(part) % 4))
+        whole = phase == 0 and _clean(raw)
+        found = [(at.start(), len(raw), raw)] if (at := _ASCII.search(raw)) else []
+        if not whole:
+            if begins is None:
+                begins = sorted({0, *firsts[:-1], *(m.end() for m in re.finditer("[/_-]", "".join(x for _, x in lines)))})
+            found = chain(found, _streams(raw, budget))
+        own = [x for x in begins or [0] if x % 4 == phase]
+        for a, b, inner in found:
+            if inner is None:
+                yield None
+                continue
+            whole |= phase == 0 and a == 0 and b == len(raw) and inner is not raw
+            if _ASCII.search(inner):
+                first = phase + a * 4 // 3
+                before = bisect_right(own, first)
+                last = start + len(run) if b == len(raw) else place(min(len(body) - 1, phase + -(-b * 4 // 3) - 1)) + 1
+                yield layer.within(place(own[before - 1] if before else first), last, _text(inner))
+        if whole:
+            return
+
+
+def unwrap(layer: Layer, settings: Settings, budget: Budget) -> Iterator[Layer | None]:
     """The layers directly below; None for one that met a limit."""
     text = layer.text
     if "%" in text and (pieces := [(m.start(), m.end(), new) for m in _PERCENT.finditer(text) if (new := _percent(m)) is not None]):
@@ -156,20 +250,20 @@ def unwrap(layer: Layer, settings: Settings) -> Iterator[Layer | None]:
         if pieces := [(a, b, chr(x)) for a, b, x in points if x < 0xD800 or 0xDFFF < x <= 0x10FFFF]:
             yield layer.rewritten(pieces)
     for m in _BASE64.finditer(text):
-        if (raw := _base64(m)) is not None:
-            new, met = _plain(raw, settings)
-            if met:
-                yield None
-            elif new is not None:
-                yield layer.within(m.start(), m.end(), new)
+        if "\n" in m[0]:
+            for line in _LINE.finditer(m[0]):
+                if len(line[0].rstrip("=")) >= 16:
+                    yield from _base64(layer, m.start() + line.start(), line[0], budget)
+        yield from _base64(layer, m.start(), m[0], budget)
 
 
 def deep_scan(text: str, settings: Settings = Settings()) -> tuple[list[Span], list[Span], bool]:
     """Base spans, all spans, and whether every layer was entered; sorted by start, kind, end."""
     base = scan(text)
     found, work, seen, total, complete = set(base), [Layer(text)], {text}, 0, True
+    budget = Budget(settings)
     while work:
-        for layer in unwrap(work.pop(), settings):
+        for layer in unwrap(work.pop(), settings, budget):
             if layer is None or total + len(layer.text) > settings.max_document_bytes:
                 complete = False
             elif layer.text not in seen:

@@ -1,4 +1,5 @@
 import base64
+import bz2
 import gzip
 import hashlib
 import re
@@ -7,6 +8,7 @@ import zlib
 
 import pyarrow.parquet as pq
 import pytest
+import zstandard
 
 from matchlake.llm.secret_scan import Settings, deep_scan, listed, op3_scan_secrets, scan_secrets
 
@@ -69,3 +71,34 @@ def test_odd_rows(docs):
     rows = scan_secrets(docs((1, None), (None, ""), (2, SECRET), (2, SECRET))).collect()
     assert sorted(r["n_hex"] for r in rows) == [0, 0, 1, 1]
     assert scan_secrets(docs((1, "a")).limit(0)).count() == 0
+
+
+def _late(encode):
+    """A compressed secret whose URL-safe base64 has '-' or '_' after 16 and more characters, and before them only in zstandard's mark."""
+    for i in range(10_000):
+        out = base64.urlsafe_b64encode(encode(f"{i} {SECRET} {hashlib.sha512(bytes(i)).hexdigest() * 3}".encode())).decode()
+        if not set("-_") & set(out.removeprefix("KLUv_")[:16]) and set("-_") & set(out[21:]):
+            return out
+    raise AssertionError
+
+
+@pytest.mark.parametrize("encode", [zlib.compress, bz2.compress, zstandard.compress], ids=["zlib", "bz2", "zstd"])
+def test_url_safe_marks_late_in_the_run(encode):
+    run = _late(encode)
+    assert (0, 0, len(run)) in deep_scan(run)[1]
+
+
+@pytest.mark.parametrize("encode", [bytes, zlib.compress], ids=["plain", "zlib"])
+@pytest.mark.parametrize("before", ["/path/", "/a/path/", "id_", "id-x_", "name"])
+def test_runs_glued_to_names_and_paths(before, encode):
+    run = b64(encode(b"some words before the " + SECRET.encode()))
+    spans = [(a, b) for a, kind, b in deep_scan(f"see {before}{run} there")[1] if kind == 0]
+    assert any(4 <= a <= 4 + len(before) and b == 4 + len(before) + len(run) for a, b in spans)
+
+
+@pytest.mark.parametrize("encode", [bytes, zlib.compress], ids=["plain", "zlib"])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n  "])
+def test_wrapped_lines_are_joined(encode, end):
+    run = b64(encode(b"forty bytes that come before the next one " + SECRET.encode() + bytes(range(33, 100))))
+    lines = end.join(run[i : i + 76] for i in range(0, len(run), 76))
+    assert (2, 0, 2 + len(lines)) in deep_scan(f"a {lines} b")[1]
