@@ -5,6 +5,7 @@ escapes, Unicode escapes and base64 runs, whose bytes may themselves be compress
 become further layers, each scanned and unwrapped again until nothing new appears.
 A base64 run is in either alphabet, may be wrapped into lines (of 16 or more characters)
 and may be glued to a path or a name; bytes that are no text are scanned as Latin-1.
+Compressed bytes may also be written with percent, Unicode or byte escapes, and have several members.
 A layer already seen in the document is not entered twice, which also ends cycles.
 Each layer knows, for every character, which characters of the original text it came
 from, so a secret found deep inside is reported at the place of its wrapping.
@@ -45,6 +46,10 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}")
+#: Escapes of single bytes; those of characters may come with the usual letters.
+_PERCENT_BYTE = re.compile(r"%[0-9A-Fa-f]{2}")
+_CHARACTER_BYTE = re.compile(r"""\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|\\u\{0*[0-9A-Fa-f]{1,2}\}|\\[abfnrtv0'"\\]""")
+_LETTERS = dict(zip("abfnrtv0'\"\\", b"\a\b\f\n\r\t\v\0'\"\\", strict=True))
 #: Either alphabet, over line breaks.
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)*={0,2}")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
@@ -148,12 +153,23 @@ def _coder(raw: bytes):
 
 def _expanded(raw: bytes, limit: int) -> tuple[bytes, int, bool] | None:
     """Decompressed bytes, cut at the limit plus one, how many bytes they came from, and whether those had an end; None if they are not compressed."""
-    coder = _coder(raw)
-    try:
-        out = coder.decompress(raw, limit + 1)
-    except (zlib.error, zstandard.ZstdError, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
-    return out, len(raw) - len(coder.unused_data), coder.eof
+    parts: list[bytes] = []
+    rest, size, ended = raw, 0, False
+    while size <= limit:
+        coder = _coder(rest)
+        try:
+            parts.append(coder.decompress(rest, limit + 1 - size))
+        except (zlib.error, zstandard.ZstdError, OSError, EOFError, lzma.LZMAError, ValueError):
+            break
+        size += len(parts[-1])
+        ended = coder.eof
+        rest = coder.unused_data if ended else b""
+        # members of one file follow one another, at most with zeros between
+        following = rest.lstrip(b"\0")
+        if not ended or following[:3] != raw[:3] or len(following) < 3:
+            break
+        rest = following
+    return (b"".join(parts), len(raw) - len(rest), ended) if parts else None
 
 
 def _starts(raw: bytes) -> Iterator[int]:
@@ -193,11 +209,27 @@ def _streams(raw: bytes, budget: Budget) -> Iterator[tuple[int, int, bytes | Non
                 work.append((inner, (a, b)))
 
 
-def _percent(m: re.Match[str]) -> str | None:
-    try:
-        return bytes.fromhex(m[0].replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
+def _percent(m: re.Match[str]) -> str:
+    return _text(bytes.fromhex(m[0].replace("%", "")))
+
+
+def _bytes_of(layer: Layer, escapes: re.Pattern[str], budget: Budget) -> Iterator[Layer | None]:
+    """What compressed bytes written with these escapes, between characters that stand for themselves, expand to."""
+    pieces = [(m.start(), m.end(), chr(_byte(m[0]))) for m in escapes.finditer(layer.text)]
+    written = [layer.rewritten(pieces)]
+    if escapes is _PERCENT_BYTE and "+" in layer.text:  # a form's blanks
+        written.append(layer.rewritten(sorted([*pieces, *((m.start(), m.end(), " ") for m in re.finditer(r"\+", layer.text))])))
+    for own in written:
+        for m in re.finditer(r"[\x00-\xff]+", own.text):
+            for a, b, inner in _streams(m[0].encode("latin-1"), budget):
+                if inner is None:
+                    yield None
+                elif _ASCII.search(inner):
+                    yield own.within(m.start() + a, m.start() + b, _text(inner))
+
+
+def _byte(escape: str) -> int:
+    return _LETTERS[escape[1]] if escape[0] == "\\" and escape[1] in _LETTERS else int(escape.lstrip("%\\xu{").rstrip("}"), 16)
 
 
 def _base64(layer: Layer, start: int, run: str, budget: Budget) -> Iterator[Layer | None]:
@@ -243,12 +275,14 @@ def _base64(layer: Layer, start: int, run: str, budget: Budget) -> Iterator[Laye
 def unwrap(layer: Layer, settings: Settings, budget: Budget) -> Iterator[Layer | None]:
     """The layers directly below; None for one that met a limit."""
     text = layer.text
-    if "%" in text and (pieces := [(m.start(), m.end(), new) for m in _PERCENT.finditer(text) if (new := _percent(m)) is not None]):
+    if "%" in text and (pieces := [(m.start(), m.end(), _percent(m)) for m in _PERCENT.finditer(text)]):
         yield layer.rewritten(pieces)
+        yield from _bytes_of(layer, _PERCENT_BYTE, budget)
     if "\\" in text:
         points = [(m.start(), m.end(), int(re.sub(r"[^0-9A-Fa-f]", "", m[0][2:]), 16)) for m in _UNICODE.finditer(text)]
         if pieces := [(a, b, chr(x)) for a, b, x in points if x < 0xD800 or 0xDFFF < x <= 0x10FFFF]:
             yield layer.rewritten(pieces)
+            yield from _bytes_of(layer, _CHARACTER_BYTE, budget)
     for m in _BASE64.finditer(text):
         if "\n" in m[0]:
             for line in _LINE.finditer(m[0]):

@@ -2,6 +2,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import urllib.parse
 import zlib
@@ -102,3 +103,26 @@ def test_wrapped_lines_are_joined(encode, end):
     run = b64(encode(b"forty bytes that come before the next one " + SECRET.encode() + bytes(range(33, 100))))
     lines = end.join(run[i : i + 76] for i in range(0, len(run), 76))
     assert (2, 0, 2 + len(lines)) in deep_scan(f"a {lines} b")[1]
+
+
+@pytest.mark.parametrize("raw", [b"\0user\0%s", b"\x1b[31m%s\x1b[0m", b"caf\xe9 %s", b"\x01\x02\xff\xfe%s\0"], ids=["nul", "escape", "latin-1", "header"])
+@pytest.mark.parametrize("encode", [bytes, bz2.compress], ids=["plain", "bz2"])
+def test_secrets_beside_bytes_that_are_no_text(raw, encode):
+    run = b64(encode(raw % SECRET.encode()))
+    assert any(2 <= a <= 8 and kind == 0 and b == 2 + len(run) for a, kind, b in deep_scan(f"a {run} b")[1])
+
+
+@pytest.mark.parametrize("encode", [zlib.compress, gzip.compress, bz2.compress, lzma.compress, zstandard.compress], ids=["zlib", "gzip", "bz2", "xz", "zstd"])
+@pytest.mark.parametrize("quote", [urllib.parse.quote, urllib.parse.quote_plus, lambda x: "".join(f"%{i:02X}" for i in x), lambda x: "".join(f"\\x{i:02x}" for i in x), repr, lambda x: "".join(f"\\u{i:04x}" for i in x)], ids=["quote", "plus", "all", "x", "repr", "u"])
+def test_compressed_bytes_in_escapes(quote, encode):
+    for i in range(20):
+        _, spans, complete = deep_scan(f"GET /?q={quote(encode(f'{i} {SECRET}'.encode()))} end")
+        assert complete and any(kind == 0 for _, kind, _ in spans), i
+
+
+@pytest.mark.parametrize("encode", [zlib.compress, gzip.compress, bz2.compress, lzma.compress, zstandard.compress], ids=["zlib", "gzip", "bz2", "xz", "zstd"])
+def test_all_members_are_read(encode):
+    for cut in (0, 20):
+        run = b64(encode(b"first " + SECRET[:cut].encode()) + encode(SECRET[cut:].encode()))
+        assert (0, 0, len(run)) in deep_scan(run)[1]
+    assert not deep_scan(run, Settings(max_layer_bytes=30))[2]
