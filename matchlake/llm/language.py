@@ -62,31 +62,45 @@ def plain_words(text: bytes) -> bytes:
 def learn(labelled: DataFrame, settings: Settings = Settings()) -> dict[str, bytes]:
     """One dictionary per language from (text, lang), the language with most texts first.
 
-    Rows without a letter or language are left out.  The sample holds the texts with
-    the smallest hashes, each distinct text once: a first pass counts the labels and
-    so sets a hash limit for each language that lets about four samples through.
+    Rows without a letter or language are left out.  The sample holds the distinct texts
+    with the smallest hashes: a first pass counts labels and, nearly, distinct texts and
+    so sets a hash limit for each language that lets about four samples through.  The
+    sampled texts share the dictionary; what short ones leave goes to longer ones.
     """
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text")
-    counts = {r["lang"]: r["n"] for r in labelled.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    room = max(200, settings.dictionary_bytes // settings.sample_texts)
+    letter = F.col("text").rlike(r"\p{L}")
+    known = labelled.where(F.col("lang").isNotNull()).select("lang", "text", F.shiftrightunsigned(F.xxhash64("text"), 1).alias("h"))
+    totals = known.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct(F.when(letter, F.col("h")), 0.02).alias("distinct")).collect()
+    counts, distinct = {r["lang"]: r["n"] for r in totals}, {r["lang"]: r["distinct"] for r in totals}
     limit = F.lit(0.0)
-    for lang, n in counts.items():
-        limit = F.when(F.col("lang") == lang, min(1.0, 4 * settings.sample_texts / n) * 2.0**30).otherwise(limit)
-    near = (
-        rows.withColumn("h", F.pmod(F.xxhash64("text"), F.lit(1 << 30)))
-        .where(F.col("h") < limit)
-        .select("lang", "h", F.substring("text", 1, 4 * room).alias("text"))
-        .dropDuplicates(["lang", "h"])
-    )
+    for lang, n in distinct.items():
+        limit = F.when(F.col("lang") == lang, min(1.0, 4 * settings.sample_texts / max(1, n)) * 2.0**63).otherwise(limit)
+    near = known.where(letter & (F.col("h") <= limit)).dropDuplicates(["lang", "h"])
     order = Window.partitionBy("lang").orderBy("h")
     sample = near.withColumn("i", F.row_number().over(order)).where(F.col("i") <= settings.sample_texts)
-    kept: dict[str, list[tuple[int, bytes]]] = {}
-    for r in sample.collect():
-        kept.setdefault(r["lang"], []).append((r["i"], plain_words(r["text"].encode())[:room]))
-    return {
-        lang: b"\n".join(text for _, text in sorted(kept[lang]))[: settings.dictionary_bytes]
-        for lang in sorted(kept, key=lambda x: (-counts[x], x))
-    }
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [plain_words(x)[: settings.dictionary_bytes] for x in batch.column(2).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["lang", "i", "words"])
+
+    def shared(table: pa.Table) -> pa.Table:
+        texts = [x for _, x in sorted(zip(table["i"].to_pylist(), table["words"].to_pylist(), strict=True))]
+        room = _level([len(x) + 1 for x in texts], settings.dictionary_bytes + 1) - 1
+        content = b"\n".join(x[:room] for x in texts)[: settings.dictionary_bytes]
+        return pa.table({"lang": table["lang"].slice(0, 1), "content": pa.array([content], pa.binary())})
+
+    packed = sample.select("lang", "i", "text").mapInArrow(words, "lang string, i int, words binary").groupBy("lang").applyInArrow(shared, "lang string, content binary")
+    found = {r["lang"]: bytes(r["content"]) for r in packed.collect()}
+    return {lang: found[lang] for lang in sorted(found, key=lambda x: (-counts[x], x))}
+
+
+def _level(lengths: list[int], room: int) -> int:
+    """The most that each may have of the room, so that those shorter leave theirs to the others."""
+    for i, length in enumerate(sorted(lengths)):
+        if length * (len(lengths) - i) > room:
+            return room // (len(lengths) - i)
+        room -= length
+    return max(lengths)
 
 
 class _Coder:

@@ -38,3 +38,20 @@ def test_nothing_learned_or_nothing_there(docs):
     (row,) = L.identify(docs((1, "text")), {}).collect()
     assert row["lang_pred"] == "und"
     assert L.identify(docs((1, "text")).limit(0), {"en": b"the cat"}).count() == 0
+
+
+def test_copies_leave_the_sample_whole(docs):
+    """Copies that hold nearly all rows of a language take the place of one text."""
+    rows = [("alpha beta", "xx")] * 3000 + [(f"omega{chr(97 + i)} rho{chr(97 + i)}", "xx") for i in range(20)]
+    few = L.Settings(sample_texts=10)
+    (content,) = L.learn(docs(*((i, *r) for i, r in enumerate(rows))).select("text", "lang"), few).values()
+    assert len(content.split(b"\n")) == 10
+
+
+def test_few_texts_share_the_whole_dictionary(docs):
+    word = lambda i: "".join(chr(97 + int(x)) for x in f"{i:06d}")
+    long = " ".join(word(i) for i in range(3000))
+    short = " ".join(word(i) for i in range(5000, 5100))
+    learned = L.learn(docs((1, long, "xx"), (2, short, "xx"), (3, " ".join(word(i) for i in range(9000, 30000)), "yy")).select("text", "lang"))
+    assert sorted(learned["xx"].split(b"\n")) == sorted([long.encode(), short.encode()])
+    assert len(learned["yy"]) == L.Settings().dictionary_bytes
