@@ -14,7 +14,8 @@
 4. For each candidate around which enough of the item's words occur, the longest common subsequence of the item's words and the words
    around the window decides: a share of ``copy_share`` is a copy, ``paraphrase_share``
    a paraphrase if the answer is there as well: the words of a column ``answer``, or
-   the last words of the item.
+   the last words of the item.  A document that holds only a passage of an item copies
+   it too: ``passage_words`` of any two cells of the item, in order.
 
 Items come to the driver in blocks of at most ``block_bytes`` of text, and a block's
 model is as large as its vocabulary times the rank; each block makes one pass over the
@@ -56,6 +57,7 @@ class Settings:
     copy_share: float = 0.8
     paraphrase_share: float = 0.6
     answer_words: int = 3
+    passage_words: int = 30
     block_bytes: int = 250_000
     seed: int = 7
 
@@ -131,6 +133,7 @@ class Model:
     basis: np.ndarray
     passages: np.ndarray
     passage_item: np.ndarray
+    passage_begin: np.ndarray
 
 
 def _passages(words: int, cell: int) -> list[tuple[int, int]]:
@@ -196,7 +199,7 @@ def fit(benchmark: DataFrame, rows: list, counts: np.ndarray, settings: Settings
             rest[:, column] -= basis @ passages[row]
         basis = np.linalg.qr(np.hstack([basis, rest]))[0].astype(np.float32)
         passages = np.array([values @ basis[own] for own, values in vectors], np.float32)
-    return Model([r[0] for r in rows], items, answers, known, weights, basis, passages, np.array([i for i, _ in cuts]))
+    return Model([r[0] for r in rows], items, answers, known, weights, basis, passages, np.array([i for i, _ in cuts]), np.array([a for _, (a, _) in cuts]))
 
 
 def common_subsequence(masks: dict[int, int], size: int, words: list[int]) -> int:
@@ -229,11 +232,18 @@ class Searcher:
         self.rows = np.full((len(model.items), self.longest), len(model.known), np.int32)
         for i, words in enumerate(model.items):
             self.rows[i, : len(words)] = np.searchsorted(model.known, words)
+        # the words of each passage and a cell on either side
+        cell = settings.cell
+        self.beside = np.full((len(model.passage_item), 4 * cell), len(model.known), np.int32)
+        for i, (item, at) in enumerate(zip(model.passage_item.tolist(), model.passage_begin.tolist(), strict=True)):
+            words = self.rows[item, : self.sizes[item]][max(0, at - cell) : at + 3 * cell]
+            self.beside[i, : len(words)] = words
+        self.parts: dict[tuple[int, int], list[dict[int, int]]] = {}
         self.masks = [_masks(x) for x in model.items]
         self.answer_masks = [_masks(x) for x in model.answers]
 
-    def windows(self, hashes: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
-        """(document, place of the first word, item, cosine) of the candidates."""
+    def windows(self, hashes: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+        """(document, place of the first word, item, place of the passage in it, cosine) of the candidates."""
         cell, model = self.settings.cell, self.model
         if not len(hashes):
             return
@@ -279,7 +289,22 @@ class Searcher:
                 present = np.zeros(len(model.known) + 1, bool)
                 present[near[near >= _SLOTS] - _SLOTS] = True
                 able = present[self.rows[items]].sum(axis=1) >= self.settings.paraphrase_share * self.sizes[items]
-                yield from ((d, begin, int(x), float(y)) for x, y in zip(items[able], cosines[able], strict=True))
+                able |= present[self.beside[found]].sum(axis=1) >= self.settings.passage_words
+                at = model.passage_begin[found]
+                yield from ((d, begin, int(x), int(a), float(y)) for x, a, y in zip(items[able], at[able], cosines[able], strict=True))
+
+    def holds_passage(self, item: int, at: int, words: list[int]) -> bool:
+        """Whether passage_words of two cells of the item that begin within a cell of the place are there, in order."""
+        least, size = self.settings.passage_words, 2 * self.settings.cell
+        if self.sizes[item] < least:
+            return False
+        if (parts := self.parts.get((item, at))) is None:
+            # so close that a run of passage_words lies in one of them
+            last = max(0, int(self.sizes[item]) - size)
+            step = max(1, size - least + 1)
+            begins = {min(last, x) for x in range(max(0, at - self.settings.cell), at + self.settings.cell + step, step)}
+            parts = self.parts[item, at] = [_masks(self.model.items[item][x : x + size]) for x in sorted(begins)]
+        return any(common_subsequence(x, size, words) >= least for x in parts)
 
     def find(self, texts: pa.Array) -> dict[tuple[int, int], tuple[float, float, bool, str]]:
         """(document, item) to cosine, share of the item, whether the answer is there, and verdict, for what is contaminated."""
@@ -287,13 +312,16 @@ class Searcher:
         settings = self.settings
         hashes, lengths = self.scanner.words(texts)
         ends = np.cumsum(lengths)
-        for d, begin, item, cosine in self.windows(hashes, lengths):
+        for d, begin, item, at, cosine in self.windows(hashes, lengths):
             size, first, last = int(self.sizes[item]), int(ends[d] - lengths[d]), int(ends[d])
             around = hashes[max(first, begin - size) : min(last, begin + 2 * settings.cell + size)].tolist()
             share = common_subsequence(self.masks[item], size, around) / size
             answered = common_subsequence(self.answer_masks[item], len(self.model.answers[item]), around) == len(self.model.answers[item])
-            verdict = "copy" if share >= settings.copy_share else "paraphrase" if share >= settings.paraphrase_share and answered else ""
-            if verdict and ((d, item) not in out or (share, cosine) > (out[d, item][1], out[d, item][0])):
+            near = hashes[max(first, begin - 2 * settings.cell) : min(last, begin + 4 * settings.cell)].tolist()
+            copied = share >= settings.copy_share or self.holds_passage(item, at, near)
+            verdict = "copy" if copied else "paraphrase" if share >= settings.paraphrase_share and answered else ""
+            known = out.get((d, item))
+            if verdict and (known is None or (copied, share, cosine) > (known[3] == "copy", known[1], known[0])):
                 out[d, item] = (cosine, share, answered, verdict)
         return out
 

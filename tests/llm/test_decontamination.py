@@ -78,3 +78,14 @@ def test_common_subsequence():
     for _ in range(50):
         a, b = ([draw.randrange(6) for _ in range(draw.randint(1, 80))] for _ in range(2))
         assert common_subsequence(_masks(np.array(a)), len(a), b) == plain(a, b)
+
+
+def test_passages_of_longer_items_are_copies(docs, spark):
+    items = [filler(200, 21), filler(60, 22), filler(40, 23)]
+    words = [x.split() for x in items]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    around = lambda part, seed: f"{filler(70, seed)} {' '.join(part)} {filler(50, seed + 1)}"
+    texts = [around(words[0][37:137], 31), around(words[0][150:], 33), around(words[1][:45], 35), around(words[1][13:58], 37), around(words[0][60:72], 39), around(words[1][20:35], 41), around(words[2], 43)]
+    rows = sorted((r["doc_id"], r["item_id"], r["verdict"]) for r in find_contamination(docs(*enumerate(texts)), bench).collect())
+    assert rows == [(0, 0, "copy"), (1, 0, "copy"), (2, 1, "copy"), (3, 1, "copy"), (6, 2, "copy")]
+    assert sorted(r["doc_id"] for r in drop_contaminated(docs(*enumerate(texts)), bench).collect()) == [4, 5]
