@@ -30,9 +30,11 @@ KINDS = ("mail", "card", "ssn", "phone", "ip", "date")
 
 _CARD = r"(?:\d{13,19}|(?:\d{4} ){3}\d{1,7}|(?:\d{4}-){3}\d{1,7}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})"
 _SSN = r"\d{3}-\d{2}-\d{4}"
-_PHONE = r"(?:\+?1[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+\d{8,15}"
 _IP = r"\d{1,3}(?:\.\d{1,3}){3}"
 _DATE = r"(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4})"
+#: After a plus sign 8 to 15 digits as they are usually grouped, up to a number of another kind.
+_OTHER = rf" (?:{_CARD}|{_SSN}|{_DATE}|{_IP})(?![A-Za-z0-9]|[.-]\d)"
+_PHONE = rf"(?:\+?1[ .-]?)?(?:\(\d{{3}}\)[ .-]?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}|\+\d(?:(?!{_OTHER})[ ./-]?[(]?\d[)]?){{7,14}}"
 #: Longer forms first; a number is never taken out of a longer run of letters or digits.
 PATTERN = (
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"

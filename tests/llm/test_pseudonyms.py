@@ -58,3 +58,15 @@ def test_columns_nulls_and_long_texts(docs, spark):
     assert pseudonymise(frame.limit(0), KEY).count() == 0
     plan = pseudonymise(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), KEY)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_international_numbers_as_written(docs):
+    numbers = ["+49 30 12345678", "+44 20 7946 0958", "+33 1 23 45 67 89", "+49 (30) 1234-5678", "+34.912.345.678", "+44 (0)20 7946 0958"]
+    rows = pseudonymise(docs(*((i, f"Tel. {x}, bitte") for i, x in enumerate(numbers))), Settings(key="k")).orderBy("doc_id").collect()
+    for number, row in zip(numbers, rows, strict=True):
+        shape = lambda text: "".join("9" if c.isdigit() else c for c in text)
+        assert row["pii"]["phone"] == 1 and number not in row["text"] and shape(row["text"]) == shape(f"Tel. {number}, bitte")
+    (row,) = pseudonymise(docs((1, "+1 23 45 and + 12 34 56 78")), Settings(key="k")).collect()
+    assert row["text"] == "+1 23 45 and + 12 34 56 78"
+    (row,) = pseudonymise(docs((1, "+49 30 1234567 4111 1111 1111 1111")), Settings(key="k")).collect()
+    assert (row["pii"]["phone"], row["pii"]["card"]) == (1, 1)
