@@ -14,6 +14,7 @@ from matchlake.llm import (
     licenses,
     mixing,
     ngram_model,
+    periodic_runs,
     pseudonyms,
     quality_rules,
     secret_scan,
@@ -35,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": quality_rules.op8_quality_rules,
         "op9_scan_licences": licenses.op9_scan_licences,
         "op10_pseudonymise": pseudonyms.op10_pseudonymise,
+        "op11_find_runs": periodic_runs.op11_find_runs,
         "pipeline": corpus_pipeline.run,
     }
 
