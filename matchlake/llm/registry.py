@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from matchlake.llm import (
     decontamination,
+    hard_negatives,
     jaccard_join,
     language,
     licenses,
@@ -37,9 +38,10 @@ def queries() -> dict[str, Query]:
         "op9_scan_licences": licenses.op9_scan_licences,
         "op10_pseudonymise": pseudonyms.op10_pseudonymise,
         "op11_find_runs": periodic_runs.op11_find_runs,
+        "op12_mine_negatives": hard_negatives.op12_mine_negatives,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mix_sources": mixing.OP5_SQL}
+    return {"op5_mix_sources": mixing.OP5_SQL, "op12_mine_negatives": hard_negatives.OP12_SQL}
