@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from matchlake.llm import (
+    cover_search,
     decontamination,
     hard_negatives,
     jaccard_join,
@@ -39,9 +40,10 @@ def queries() -> dict[str, Query]:
         "op10_pseudonymise": pseudonyms.op10_pseudonymise,
         "op11_find_runs": periodic_runs.op11_find_runs,
         "op12_mine_negatives": hard_negatives.op12_mine_negatives,
+        "op13_search_vectors": cover_search.op13_search_vectors,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mix_sources": mixing.OP5_SQL, "op12_mine_negatives": hard_negatives.OP12_SQL}
+    return {"op5_mix_sources": mixing.OP5_SQL, "op12_mine_negatives": hard_negatives.OP12_SQL, "op13_search_vectors": cover_search.OP13_SQL}
