@@ -1,4 +1,4 @@
-"""Format-preserving pseudonyms for personal data, in SQL expressions alone.
+"""Format-preserving pseudonyms for personal data, in column expressions alone.
 
 Card numbers (Luhn), social security numbers, phone numbers, IPv4 addresses and dates
 are checked and then permuted within their own format by a keyed Feistel network over
@@ -19,7 +19,8 @@ ones, and repeated rows stay as they are.  A text is read once, whole.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,9 +36,12 @@ _DATE = r"(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\
 #: After a plus sign 8 to 15 digits as they are usually grouped, up to a number of another kind.
 _OTHER = rf" (?:{_CARD}|{_SSN}|{_DATE}|{_IP})(?![A-Za-z0-9]|[.-]\d)"
 _PHONE = rf"(?:\+?1[ .-]?)?(?:\(\d{{3}}\)[ .-]?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}|\+\d(?:(?!{_OTHER})[ ./-]?[(]?\d[)]?){{7,14}}"
+_LABEL, _OTHER_LABELS = r"[A-Za-z0-9-]++", r"(?:\.(?![A-Za-z]{2})[A-Za-z0-9-]++)*+"
+#: Up to the last label that starts with two letters.  All loops are possessive, which the engine runs without recursion.
+_DOMAIN = rf"{_LABEL}(?:{_OTHER_LABELS}\.(?=[A-Za-z]{{2}}){_LABEL}(?={_OTHER_LABELS}\.[A-Za-z]{{2}}))*+{_OTHER_LABELS}\.[A-Za-z]{{2,}}"
 #: Longer forms first; a number is never taken out of a longer run of letters or digits.
 PATTERN = (
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@{_DOMAIN}"
     rf"|(?<![A-Za-z0-9+]|\d[.-])(?:{_CARD}|{_SSN}|{_DATE}|{_IP}|{_PHONE})(?![A-Za-z0-9]|[.-]\d)"
 )
 
@@ -46,125 +50,183 @@ PATTERN = (
 class Settings:
     """key: whoever knows it can undo the pseudonyms, so pass a secret.  rounds: an even number, 8 or more."""
 
-    key: str
+    key: str = field(repr=False)
     rounds: int = 10
 
 
-def _literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+Body = Callable[[F.Column], F.Column]
 
 
-def _feistel(kind: str, left: str, right: str, size_left: str, size_right: str, settings: Settings) -> str:
-    """A struct (l, r) of the permuted residues."""
+def _let(value: F.Column, body: Body) -> F.Column:
+    """``body`` of the value, which is computed once."""
+    return F.transform(F.array(value), body)[0]
 
-    def mask(of: str, size: str) -> str:
-        message = f"concat({_literal(settings.key)}, '|{kind}|', i, '|', {size_left}, '|', {of})"
-        return f"CAST(conv(substr(sha2({message}, 256), 1, 15), 16, 10) AS BIGINT) % {size}"
 
-    return f"""aggregate(sequence(1, {settings.rounds}), named_struct('l', CAST({left} AS BIGINT), 'r', CAST({right} AS BIGINT)),
-        (s, i) -> CASE WHEN i % 2 = 1 THEN named_struct('l', (s.l + {mask("s.r", size_left)}) % {size_left}, 'r', s.r)
-        ELSE named_struct('l', s.l, 'r', (s.r + {mask("s.l", size_right)}) % {size_right}) END)"""
+def _digits(of: F.Column) -> F.Column:
+    return F.regexp_replace(of, "[^0-9]", "")
 
 
-def _let(name: str, value: str, body: str) -> str:
-    """``body`` with the value computed once."""
-    return f"transform(array({value}), {name} -> {body})[0]"
+def _part(of: F.Column, start: F.Column | int, length: F.Column | int) -> F.Column:
+    start, length = (x if isinstance(x, F.Column) else F.lit(x) for x in (start, length))
+    return F.substr(of, start, length)
 
 
-def _digits(of: str) -> str:
-    return f"regexp_replace({of}, '[^0-9]', '')"
+class Feistel:
+    """Keyed permutations of pairs of residues, and what the formats make of them."""
 
+    def __init__(self, secret: F.Column, rounds: int) -> None:
+        self.secret, self.rounds = secret, rounds
 
-def _refill(new: str) -> str:
-    """m with its digits replaced, in order, by those of ``new``."""
-    so_far = "length(regexp_replace(substr(m, 1, p), '[^0-9]', ''))"
-    return f"array_join(transform(sequence(1, length(m)), p -> CASE WHEN substr(m, p, 1) BETWEEN '0' AND '9' THEN substr({new}, {so_far}, 1) ELSE substr(m, p, 1) END), '')"
+    def moved(self, kind: str, left: F.Column, right: F.Column, size_left: F.Column, size_right: F.Column) -> F.Column:
+        """A struct (l, r) of the permuted residues."""
 
+        def mask(i: F.Column, of: F.Column, size: F.Column) -> F.Column:
+            message = F.concat(self.secret, F.lit(f"|{kind}|"), i.cast("string"), F.lit("|"), size_left.cast("string"), F.lit("|"), of.cast("string"))
+            return F.conv(F.substr(F.sha2(message, 256), F.lit(1), F.lit(15)), 16, 10).cast("long") % size
 
-def _luhn(digits: str, doubled_from: int) -> str:
-    """Luhn sum of the digits; every second one counts double, from this place (0 or 1) from the right."""
-    digit = f"CAST(substr({digits}, length({digits}) - k, 1) AS INT)"
-    return f"""aggregate(sequence(0, length({digits}) - 1), 0, (t, k) -> t + CASE WHEN k % 2 <> {doubled_from} THEN {digit}
-        WHEN {digit} > 4 THEN 2 * {digit} - 9 ELSE 2 * {digit} END)"""
+        def turn(s: F.Column, i: F.Column) -> F.Column:
+            first = F.struct(((s["l"] + mask(i, s["r"], size_left)) % size_left).alias("l"), s["r"].alias("r"))
+            second = F.struct(s["l"].alias("l"), ((s["r"] + mask(i, s["l"], size_right)) % size_right).alias("r"))
+            return F.when(i % 2 == 1, first).otherwise(second)
 
+        start = F.struct(left.cast("long").alias("l"), right.cast("long").alias("r"))
+        return F.reduce(F.sequence(F.lit(1), F.lit(self.rounds)), start, turn)
 
-def _halves(kind: str, prefix: str, body: str, settings: Settings) -> str:
-    """The digits of ``body`` permuted among all texts of as many digits, after ``prefix``."""
-    size = lambda n: f"CAST(concat('1', repeat('0', {n})) AS BIGINT)"
-    u, v = f"(length({body}) DIV 2)", f"(length({body}) - length({body}) DIV 2)"
-    moved = _feistel(kind, f"substr({body}, 1, {u})", f"substr({body}, {u} + 1)", size(u), size(v), settings)
-    return _let("f", moved, f"concat({prefix}, lpad(CAST(f.l AS STRING), {u}, '0'), lpad(CAST(f.r AS STRING), {v}, '0'))")
+    def digits(self, kind: str, prefix: F.Column, body: F.Column) -> F.Column:
+        """The digits of ``body`` permuted among all texts of as many digits, after ``prefix``."""
 
+        def halves(u: F.Column, v: F.Column) -> F.Column:
+            size = lambda n: F.concat(F.lit("1"), F.repeat(F.lit("0"), n)).cast("long")
+            moved = self.moved(kind, _part(body, 1, u), F.substr(body, u + 1), size(u), size(v))
+            pad = lambda x, n: F.lpad(x.cast("string"), n, F.lit("0"))
+            return _let(moved, lambda f: F.concat(prefix, pad(f["l"], u), pad(f["r"], v)))
 
-def _day(of: str) -> str:
-    """The date that m stands for; month first where both orders are valid."""
-    forms = {"yyyy-MM-dd": "____-__-__", "yyyy/MM/dd": "____/__/__", "dd.MM.yyyy": "__.__.____"}
-    fixed = " ".join(f"WHEN {of} LIKE '{like}' THEN try_to_date({of}, '{form}')" for form, like in forms.items())
-    return f"CASE {fixed} ELSE coalesce(try_to_date(translate({of}, '/', '-'), 'MM-dd-yyyy'), try_to_date(translate({of}, '/', '-'), 'dd-MM-yyyy')) END"
+        half = F.floor(F.length(body) / 2).cast("int")
+        return halves(half, F.length(body) - half)
+
+    def card(self, m: F.Column, d: F.Column) -> F.Column:
+        moved = self.digits("card", F.lit(""), _part(d, 1, F.length(d) - 1))
+        return _let(moved, lambda b: _refill(m, F.concat(b, ((10 - _luhn(b, 0) % 10) % 10).cast("string"))))
+
+    def ssn(self, d: F.Column) -> F.Column:
+        area, group, serial = _ssn_parts(d)
+        left, right = area - 1 - (area > 666).cast("int"), (group - 1) * 9999 + serial - 1
+        moved = self.moved("ssn", left, right, F.lit(898), F.lit(989901))
+        area_of = lambda f: f["l"] + 1 + (f["l"] >= 665).cast("int")
+        return _let(moved, lambda f: F.format_string("%03d-%02d-%04d", area_of(f), F.floor(f["r"] / 9999) + 1, f["r"] % 9999 + 1))
+
+    def phone(self, m: F.Column, d: F.Column) -> F.Column:
+        """The last ten digits are permuted, a country's code stays."""
+        kept = F.greatest(F.lit(0), F.length(d) - 10)
+        return _let(self.digits("phone", _part(d, 1, kept), F.substr(d, kept + 1)), lambda n: _refill(m, n))
+
+    def ip(self, m: F.Column) -> F.Column:
+        octet = [F.split_part(m, F.lit("."), F.lit(i)).cast("int") for i in (1, 2, 3, 4)]
+        moved = self.moved("ip", octet[0] * 256 + octet[1], octet[2] * 256 + octet[3], F.lit(65536), F.lit(65536))
+        whole = lambda x: F.floor(x / 256)
+        return _let(moved, lambda f: F.concat_ws(".", whole(f["l"]), f["l"] % 256, whole(f["r"]), f["r"] % 256))
+
+    def date(self, m: F.Column, day: F.Column) -> F.Column:
+        number = F.datediff(day, _first_day())
+        moved = self.moved("date", F.floor(number / 773), number % 773, F.lit(189), F.lit(773))
+        return _let(moved, lambda f: _refill(m, _day_digits(m, F.date_add(_first_day(), (f["l"] * 773 + f["r"]).cast("int")))))
+
+    def mail(self, m: F.Column) -> F.Column:
+        keyed = F.sha2(F.concat(self.secret, F.lit("|mail|"), F.lower(m)), 256)
+        return _let(keyed, lambda h: F.concat(F.lit("u"), _part(h, 1, 12), F.lit("@"), _part(h, 13, 8), F.lit(".example")))
+
+    def pseudonym(self, m: F.Column) -> F.Column:
+        """A struct (kind, new) for the match; kind is NULL where its check fails."""
+
+        def named(kind: str, new: F.Column, valid: F.Column | None = None) -> F.Column:
+            found = F.struct(F.lit(kind).alias("kind"), new.alias("new"))
+            failed = F.struct(F.lit(None).cast("string").alias("kind"), m.alias("new"))
+            return found if valid is None else F.when(valid, found).otherwise(failed)
 
+        def numbers(d: F.Column) -> F.Column:
+            area, group, serial = _ssn_parts(d)
+            octets = [F.split_part(m, F.lit("."), F.lit(i)).cast("int") <= 255 for i in (1, 2, 3, 4)]
+            dated = _let(_day(m), lambda t: named("date", self.date(m, t), t.between(_first_day(), F.lit("2199-12-31").cast("date"))))
+            return (
+                F.when(m.contains("@"), named("mail", self.mail(m)))
+                .when(m.rlike(f"^(?:{_CARD})$"), named("card", self.card(m, d), (_luhn(d, 1) % 10 == 0) & d.rlike("[1-9]")))
+                .when(m.rlike(f"^(?:{_SSN})$"), named("ssn", self.ssn(d), area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)))
+                .when(m.rlike(f"^(?:{_DATE})$"), dated)
+                .when(m.rlike(f"^(?:{_IP})$"), named("ip", self.ip(m), octets[0] & octets[1] & octets[2] & octets[3]))
+                .otherwise(named("phone", self.phone(m, d)))
+            )
 
-def _day_digits(of: str) -> str:
-    year_first, day_first = "substr(m, 5, 1) IN ('-', '/')", "m LIKE '__.__.____' OR try_to_date(translate(m, '/', '-'), 'MM-dd-yyyy') IS NULL"
-    return f"date_format({of}, CASE WHEN {year_first} THEN 'yyyyMMdd' WHEN {day_first} THEN 'ddMMyyyy' ELSE 'MMddyyyy' END)"
+        return _let(_digits(m), numbers)
 
 
-def _pseudonym(settings: Settings) -> str:
-    """A struct (kind, new) for the match m; kind is NULL where its check fails."""
-    keyed = f"sha2(concat({_literal(settings.key)}, '|mail|', lower(m)), 256)"
-    mail = f"concat('u', substr({keyed}, 1, 12), '@', substr({keyed}, 13, 8), '.example')"
+def _first_day() -> F.Column:
+    return F.lit("1800-01-01").cast("date")
 
-    body = "substr(d, 1, length(d) - 1)"
-    check = f"CAST((10 - {_luhn('b', 0)} % 10) % 10 AS STRING)"
-    card = _let("b", _halves("card", "''", body, settings), _let("n", f"concat(b, {check})", _refill("n")))
 
-    area, group, serial = "CAST(substr(d, 1, 3) AS INT)", "CAST(substr(d, 4, 2) AS INT)", "CAST(substr(d, 6, 4) AS INT)"
-    ssn_moved = _feistel("ssn", f"{area} - 1 - CAST({area} > 666 AS INT)", f"({group} - 1) * 9999 + {serial} - 1", "898", "989901", settings)
-    ssn = _let("f", ssn_moved, "format_string('%03d-%02d-%04d', f.l + 1 + CAST(f.l >= 665 AS INT), f.r DIV 9999 + 1, f.r % 9999 + 1)")
-    ssn_ok = f"{area} BETWEEN 1 AND 899 AND {area} <> 666 AND {group} > 0 AND {serial} > 0"
+def _ssn_parts(d: F.Column) -> tuple[F.Column, F.Column, F.Column]:
+    return _part(d, 1, 3).cast("int"), _part(d, 4, 2).cast("int"), _part(d, 6, 4).cast("int")
 
-    kept = "greatest(0, length(d) - 10)"
-    phone = _let("n", _halves("phone", f"substr(d, 1, {kept})", f"substr(d, {kept} + 1)", settings), _refill("n"))
 
-    octet = lambda i: f"CAST(split_part(m, '.', {i}) AS INT)"
-    ip_moved = _feistel("ip", f"{octet(1)} * 256 + {octet(2)}", f"{octet(3)} * 256 + {octet(4)}", "65536", "65536", settings)
-    ip = _let("f", ip_moved, "concat_ws('.', f.l DIV 256, f.l % 256, f.r DIV 256, f.r % 256)")
-    ip_ok = " AND ".join(f"{octet(i)} <= 255" for i in (1, 2, 3, 4))
+def _refill(m: F.Column, new: F.Column) -> F.Column:
+    """m with its digits replaced, in order, by those of ``new``."""
+    so_far = lambda p: F.length(_digits(_part(m, 1, p)))
+    own = lambda p: _part(m, p, 1)
+    filled = F.transform(F.sequence(F.lit(1), F.length(m)), lambda p: F.when(own(p).between("0", "9"), _part(new, so_far(p), 1)).otherwise(own(p)))
+    return F.array_join(filled, "")
+
+
+def _luhn(digits: F.Column, doubled_from: int) -> F.Column:
+    """Luhn sum of the digits; every second one counts double, from this place (0 or 1) from the right."""
+
+    def add(total: F.Column, k: F.Column) -> F.Column:
+        digit = _part(digits, F.length(digits) - k, 1).cast("int")
+        return total + F.when(k % 2 != doubled_from, digit).when(digit > 4, 2 * digit - 9).otherwise(2 * digit)
 
-    number = "datediff(t, DATE'1800-01-01')"
-    date_moved = _feistel("date", f"{number} DIV 773", f"{number} % 773", "189", "773", settings)
-    date = _let("f", date_moved, _let("n", _day_digits("date_add(DATE'1800-01-01', CAST(f.l * 773 + f.r AS INT))"), _refill("n")))
-    day = f"""CASE WHEN t BETWEEN DATE'1800-01-01' AND DATE'2199-12-31' THEN named_struct('kind', 'date', 'new', {date})
-        ELSE named_struct('kind', CAST(NULL AS STRING), 'new', m) END"""
+    return F.reduce(F.sequence(F.lit(0), F.length(digits) - 1), F.lit(0), add)
 
-    def when(pattern: str, valid: str, kind: str, new: str) -> str:
-        return f"WHEN m RLIKE r'^(?:{pattern})$' THEN CASE WHEN {valid} THEN named_struct('kind', '{kind}', 'new', {new}) ELSE named_struct('kind', CAST(NULL AS STRING), 'new', m) END"
 
-    cases = [
-        f"WHEN contains(m, '@') THEN named_struct('kind', 'mail', 'new', {mail})",
-        when(_CARD, f"{_luhn('d', 1)} % 10 = 0 AND d RLIKE '[1-9]'", "card", card),
-        when(_SSN, ssn_ok, "ssn", ssn),
-        f"WHEN m RLIKE r'^{_DATE}$' THEN {_let('t', _day('m'), day)}",
-        when(_IP, ip_ok, "ip", ip),
-        f"ELSE named_struct('kind', 'phone', 'new', {phone})",
-    ]
-    return _let("d", _digits("m"), f"CASE {' '.join(cases)} END")
+def _as_date(text: F.Column, form: str) -> F.Column:
+    return F.call_function("try_to_date", text, F.lit(form))
+
+
+def _day(m: F.Column) -> F.Column:
+    """The date that m stands for; month first where both orders are valid."""
+    dashed = F.translate(m, "/", "-")
+    either = F.coalesce(_as_date(dashed, "MM-dd-yyyy"), _as_date(dashed, "dd-MM-yyyy"))
+    fixed = F.when(m.like("____-__-__"), _as_date(m, "yyyy-MM-dd")).when(m.like("____/__/__"), _as_date(m, "yyyy/MM/dd"))
+    return fixed.when(m.like("__.__.____"), _as_date(m, "dd.MM.yyyy")).otherwise(either)
+
+
+def _day_digits(m: F.Column, day: F.Column) -> F.Column:
+    year_first = _part(m, 5, 1).isin("-", "/")
+    day_first = m.like("__.__.____") | _as_date(F.translate(m, "/", "-"), "MM-dd-yyyy").isNull()
+    return F.when(year_first, F.date_format(day, "yyyyMMdd")).when(day_first, F.date_format(day, "ddMMyyyy")).otherwise(F.date_format(day, "MMddyyyy"))
 
 
 def pseudonymise(docs: DataFrame, settings: Settings, column: str = "text", counts: bool = True) -> DataFrame:
-    """All rows and columns with the values in ``column`` replaced; with ``counts`` also ``pii``, a struct of counts by kind."""
-    found = f"CASE WHEN text RLIKE '[0-9@]' THEN regexp_extract_all(text, r'{PATTERN}', 0) ELSE CAST(array() AS ARRAY<STRING>) END"
-    pieces = f"split(text, r'{PATTERN}', -1)"
-    joined = f"concat(array_join(transform(new, (x, i) -> concat({'pieces'}[i], x.new)), ''), element_at(pieces, -1))"
-    tally = ", ".join(f"'{kind}', CAST(size(filter(new, x -> x.kind = '{kind}')) AS BIGINT)" for kind in KINDS)
-    none = ", ".join(f"'{kind}', CAST(0 AS BIGINT)" for kind in KINDS)
-    rewritten = _let(
-        "ms",
-        found,
-        f"""CASE WHEN size(ms) = 0 OR text IS NULL THEN named_struct('text', text, 'pii', named_struct({none}))
-        ELSE {_let("new", f"transform(ms, m -> {_pseudonym(settings)})", _let("pieces", pieces, f"named_struct('text', {joined}, 'pii', named_struct({tally}))"))} END""",
-    )
+    """All rows and columns with the values in ``column`` replaced; with ``counts`` also ``pii``, a struct of counts by kind.
+
+    The key is a relation of one row that the plan refers to, so neither ``explain`` nor
+    event logs show it.
+    """
+    text = F.col("text")
+    found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    feistel = Feistel(F.col("secret"), settings.rounds)
+
+    def whole(new: F.Column, pieces: F.Column) -> F.Column:
+        joined = F.concat(F.array_join(F.transform(new, lambda x, i: F.concat(F.get(pieces, i), x["new"])), ""), F.element_at(pieces, -1))
+        of = lambda kind: F.size(F.filter(new, lambda x: x["kind"] == kind))
+        tally = [of(kind).cast("long").alias(kind) for kind in KINDS]
+        return F.struct(joined.alias("text"), F.struct(*tally).alias("pii"))
+
+    def rewritten(matches: F.Column) -> F.Column:
+        none = F.struct(text.alias("text"), F.struct(*[F.lit(0).cast("long").alias(kind) for kind in KINDS]).alias("pii"))
+        new = F.transform(matches, feistel.pseudonym)
+        return F.when(F.size(matches) == 0, none).otherwise(_let(new, lambda n: _let(F.split(text, PATTERN, -1), lambda pieces: whole(n, pieces))))
+
+    secret = docs.sparkSession.createDataFrame([(settings.key,)], "secret string")
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.col(f"`{column}`").alias("text"))
-    out = source.select("whole", F.expr(rewritten).alias("out"))
+    out = source.withColumn("secret", secret.scalar()).select("whole", _let(found, rewritten).alias("out"))
     return out.select(
         *[F.col("out.text").alias(c) if c == column else F.col(f"whole.`{c}`").alias(c) for c in docs.columns],
         *([F.col("out.pii").alias("pii")] if counts else []),
