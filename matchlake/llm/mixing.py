@@ -65,7 +65,7 @@ _SEATS = """
     JOIN (SELECT grp, sum(greatest(0, mid - wide)) AS certain FROM {name}_near GROUP BY grp) c ON r.grp = c.grp
     GROUP BY r.grp, r.party)"""
 
-_MIX = """
+_TARGETS = """
 WITH sources AS (
     SELECT *, element_at(array({weights}), CAST((number - 1) % {n_weights} + 1 AS INT)) AS weight
     FROM (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS number FROM {{sizes}} GROUP BY source)),
@@ -73,32 +73,43 @@ levels AS (
     SELECT *, ({volume} * sum(source_size) OVER ()
             - coalesce(sum(cap) OVER (ORDER BY ratio, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0D))
         / sum(weight) OVER (ORDER BY ratio, number ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
-    FROM (SELECT *, CAST({passes} * source_size AS DOUBLE) AS cap, {passes} * source_size / CAST(weight AS DOUBLE) AS ratio FROM sources)),
-targets AS (
-    SELECT number, source, source_size, coalesce(least(cap, weight * (min(CASE WHEN level <= ratio THEN struct(ratio, number, level) END) OVER ()).level), cap) AS target,
-        greatest(1, CAST(ceil(source_size / {shard_words}) AS BIGINT)) AS shards
-    FROM levels),
-votes AS (
-    SELECT 0 AS grp, number AS party, target AS votes, CAST(round(sum(target) OVER () / {block_words}) AS BIGINT) AS seats FROM targets),
-{source_seats},
-placed AS (
-    SELECT d.doc_id, d.size, d.place, t.number, t.source, t.source_size, t.target, d.place % t.shards AS shard
-    FROM {{sizes}} d JOIN targets t ON d.source <=> t.source),
-shards AS (SELECT number, shard, sum(size) AS ring FROM placed GROUP BY number, shard),
-shard_votes AS (
+    FROM (SELECT *, CAST({passes} * source_size AS DOUBLE) AS cap, {passes} * source_size / CAST(weight AS DOUBLE) AS ratio FROM sources))
+SELECT number, source, source_size, coalesce(least(cap, weight * (min(CASE WHEN level <= ratio THEN struct(ratio, number, level) END) OVER ()).level), cap) AS target,
+    greatest(1, CAST(ceil(source_size / {shard_words}) AS BIGINT)) AS shards
+FROM levels
+"""
+
+_SOURCE_SEATS = """
+WITH votes AS (
+    SELECT 0 AS grp, number AS party, target AS votes, CAST(round(sum(target) OVER () / {block_words}) AS BIGINT) AS seats FROM {{targets}}),
+{source_seats}
+SELECT party AS number, quota FROM source_seats
+"""
+
+_SHARDS = """
+SELECT t.number, d.place % t.shards AS shard, sum(d.size) AS ring
+FROM {sizes} d JOIN {targets} t ON d.source <=> t.source GROUP BY t.number, d.place % t.shards
+"""
+
+_ARCS = """
+WITH shard_votes AS (
     SELECT s.number AS grp, s.shard AS party, CAST(s.ring AS DOUBLE) AS votes, q.quota AS seats
-    FROM shards s JOIN source_seats q ON s.number = q.party),
-{shard_seats},
-arcs AS (
-    SELECT t.number, q.party AS shard, r.ring, least(q.quota * {block_words}, {passes} * r.ring) AS words,
-        CAST(conv(substr(md5(concat('{seed}:', coalesce(t.source, ''), ':', q.party)), 1, 8), 16, 10) AS BIGINT) % r.ring AS first
-    FROM shard_seats q JOIN shards r ON q.grp = r.number AND q.party = r.shard JOIN targets t ON t.number = q.grp),
-laid AS (
-    SELECT *, coalesce(sum(size) OVER (PARTITION BY number, shard ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS origin FROM placed)
+    FROM {{shards}} s JOIN {{seats}} q ON s.number = q.number),
+{shard_seats}
+SELECT t.number, q.party AS shard, r.ring, least(q.quota * {block_words}, {passes} * r.ring) AS words,
+    CAST(conv(substr(md5(concat('{seed}:', coalesce(t.source, ''), ':', q.party)), 1, 8), 16, 10) AS BIGINT) % r.ring AS first
+FROM shard_seats q JOIN {{shards}} r ON q.grp = r.number AND q.party = r.shard JOIN {{targets}} t ON t.number = q.grp
+"""
+
+_TAKEN = """
+WITH laid AS (
+    SELECT d.doc_id, d.size, t.number, t.source_size, t.target, d.place % t.shards AS shard, coalesce(sum(d.size) OVER (PARTITION BY t.number, d.place % t.shards
+        ORDER BY d.place, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS origin
+    FROM {sizes} d JOIN {targets} t ON d.source <=> t.source)
 SELECT doc_id, size, source_size, target, CAST(coalesce(
         words DIV ring * size + greatest(0, least(origin + size, first + words % ring) - greatest(origin, first))
         + greatest(0, least(origin + size, first + words % ring - ring) - origin), 0) AS BIGINT) AS taken
-FROM laid LEFT JOIN arcs USING (number, shard)
+FROM laid LEFT JOIN {arcs} USING (number, shard)
 """
 
 
@@ -110,25 +121,28 @@ def sized(docs: DataFrame, settings: Settings) -> DataFrame:
 def mix(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, size, source_size, target and taken for every row.
 
-    Words are counted once, into a narrow scratch table that the plan reads thrice.
+    Words are counted once, into a narrow scratch table.  Targets and quotas, one row per
+    source or shard, are written as they are known, so each step is a small plan and
+    nothing is planned or computed twice.
     """
-    spark = docs.sparkSession
-    sizes = Scratch(spark, "mixing").write("sizes", sized(docs, settings))
-    seats = {
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "mixing")
+    values = {
+        "weights": ", ".join(map(str, settings.weights)),
+        "n_weights": len(settings.weights),
+        "volume": f"{settings.volume}D",
+        "passes": settings.max_passes,
+        "block_words": settings.block_words,
+        "shard_words": settings.shard_words,
+        "seed": settings.seed,
         "source_seats": _SEATS.format(name="source_seats", votes="votes"),
         "shard_seats": _SEATS.format(name="shard_seats", votes="shard_votes"),
     }
-    statement = _MIX.format(
-        weights=", ".join(map(str, settings.weights)),
-        n_weights=len(settings.weights),
-        volume=f"{settings.volume}D",
-        passes=settings.max_passes,
-        block_words=settings.block_words,
-        shard_words=settings.shard_words,
-        seed=settings.seed,
-        **seats,
-    )
-    return spark.sql(statement, sizes=sizes)
+    sizes = scratch.write("sizes", sized(docs, settings))
+    targets = scratch.write("targets", spark.sql(_TARGETS.format(**values), sizes=sizes))
+    seats = scratch.write("seats", spark.sql(_SOURCE_SEATS.format(**values), targets=targets))
+    shards = scratch.write("shards", spark.sql(_SHARDS, sizes=sizes, targets=targets))
+    arcs = scratch.write("arcs", spark.sql(_ARCS.format(**values), shards=shards, seats=seats, targets=targets))
+    return spark.sql(_TAKEN, sizes=sizes, targets=targets, arcs=arcs)
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
