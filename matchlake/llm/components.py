@@ -20,25 +20,26 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, root) for each end of an edge (a, b); root is the smallest id of the component."""
     flat = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     flat = scratch.write(f"{name}-edges-0", flat.dropDuplicates())
-    labels, number = None, 0
+    rounds: list[DataFrame] = []
     while True:
         with short_lived_shuffles(edges.sparkSession):
             if not flat.head(1):
                 break
-        number += 1
+        number = len(rounds) + 1
         both = flat.unionByName(flat.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooks = both.groupBy("a").agg(F.min("b").alias("to")).select(F.col("a").alias("node"), F.least("a", "to").alias("to"))
         hooks = scratch.write(f"{name}-hooks-{number}", hooks)
-        left, right = hooks.toDF("a", "x"), hooks.toDF("b", "y")
-        moved = flat.join(left, "a").join(right, "b").where("x <> y")
+        rounds.append(hooks)
+        moved = flat.join(hooks.toDF("a", "x"), "a").join(hooks.toDF("b", "y"), "b").where("x <> y")
         moved = moved.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).dropDuplicates()
         flat = scratch.write(f"{name}-edges-{number}", moved)
-        if labels is None:
-            labels = hooks.select("node", F.col("to").alias("root"))
-        else:
-            step = hooks.select(F.col("node").alias("root"), "to")
-            labels = scratch.write(f"{name}-labels-{number}", labels.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
         scratch.drop(f"{name}-edges-{number - 1}")
-        if number > 1:
-            scratch.drop(f"{name}-hooks-{number - 1}", f"{name}-labels-{number - 1}")
-    return labels if labels is not None else flat.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    if not rounds:
+        return flat.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    # a node's root is what its hooks lead to, round by round; each round has but a part of the one before
+    labels = rounds[0].withColumnRenamed("to", "root")
+    for hooks in rounds[1:]:
+        labels = labels.join(hooks.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    labels = scratch.write(f"{name}-labels", labels)
+    scratch.drop(f"{name}-edges-{len(rounds)}", *(f"{name}-hooks-{n + 1}" for n in range(len(rounds))))
+    return labels

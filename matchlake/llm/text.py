@@ -160,3 +160,5 @@ class Scratch:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        # Spark's cleaner frees plans, broadcasts and shuffles of finished steps only when the driver collects its garbage
+        jvm.System.gc()
