@@ -65,6 +65,15 @@ def deduplicate(
     return _first_rows(df, keys, order, 1)
 
 
+def deduplicate_in_order(df: DataFrame, keys: Sequence[str], position: str, keep: str = "last") -> DataFrame:
+    """Keep the last (or first) row per key in input order; NULL keys equal each other.
+
+    ``position`` is the column in which a reader has put where each row stood
+    (``with_position``); no two rows share one, so nothing else decides.  It is dropped.
+    """
+    return deduplicate(df, keys, [position], keep).drop(position)
+
+
 def _first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
     ranked = df.withColumn(_RANK, F.row_number().over(window))

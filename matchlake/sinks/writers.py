@@ -97,7 +97,7 @@ def load_table(df: DataFrame, table: str, schema: str = GOLD, mode: str = "appen
         spark.sql(f"INSERT INTO {target} BY NAME SELECT * FROM {{rows}}", rows=rows)
         return counted.get["rows"]
     if exists and _same_columns(spark.table(target), rows):
-        return _point_to(spark, target, rows, counted)
+        return _write_beside(spark, target, rows, counted)
     spark.sql(f"DROP TABLE IF EXISTS {incoming}")
     rows.write.mode("overwrite").format("parquet").saveAsTable(incoming)
     if counted.get["rows"] == 0:
@@ -113,21 +113,26 @@ def _same_columns(a: DataFrame, b: DataFrame) -> bool:
     return [(f.name, f.dataType) for f in a.schema] == [(f.name, f.dataType) for f in b.schema]
 
 
-def _point_to(spark: SparkSession, target: str, rows: DataFrame, counted: Observation) -> int:
+def _write_beside(spark: SparkSession, target: str, rows: DataFrame, counted: Observation) -> int:
     """Write the rows beside a table's files and make them the table's files."""
-    old = _location(spark, target)
-    new = f"{old.split('__rows_')[0]}__rows_{uuid.uuid4().hex[:12]}"
+    new = f"{location(spark, target).split('__rows_')[0]}__rows_{uuid.uuid4().hex[:12]}"
     rows.write.parquet(new)
     if counted.get["rows"] == 0:
         drop_folder(spark, new)
         return 0
-    spark.sql(f"ALTER TABLE {target} SET LOCATION '{new}'")
+    point_to(spark, target, new)
+    return counted.get["rows"]
+
+
+def point_to(spark: SparkSession, target: str, folder: str) -> None:
+    """Make the files in a folder those of a table; its declaration stays, its old files go."""
+    old = location(spark, target)
+    spark.sql(f"ALTER TABLE {target} SET LOCATION '{folder}'")
     spark.catalog.refreshTable(target)
     drop_folder(spark, old)
-    return counted.get["rows"]
 
 
-def _location(spark: SparkSession, table: str) -> str:
+def location(spark: SparkSession, table: str) -> str:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
     return described.first()["data_type"].rstrip("/")
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matchlake.functions import strip_text
@@ -62,6 +62,52 @@ def read_alias_json(spark: SparkSession, path: str) -> DataFrame:
     return sources.select("sport", "canonical", "source", "alias", position.alias("position"))
 
 
+#: A quoted name, and a line of a block mapping: indent, name, value; a comment may follow.
+_QUOTED = "'(?:[^']++|'')*+'" + "|" + r'"(?:[^"\\]++|\\.)*+"'
+_YAML_LINE = (
+    rf"""^( *+)({_QUOTED}|[^\s'"#:\[{{&*|>-][^:#]*?) *:"""
+    rf"""(?:\s+({_QUOTED}|[^\s'"#\[{{&*|>-][^#]*?))? *(?:\s#.*)?$"""
+)
+
+
+def read_alias_yaml(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of YAML files of block mappings: sport, then canonical name, then source: alias.
+
+    One document per file, indented by blanks.  A line's sport and canonical name are the
+    last ones above it with less indent, and positions keep the order of the lines.  Names
+    may be plain or quoted.  Any other YAML (lists, flow mappings, anchors, deeper levels)
+    is an error that names the line.
+    """
+    text = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    lines = text.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line", "raw"))
+    lines = lines.where(~F.col("raw").rlike(r"^\s*(#.*)?$|^---\s*$"))
+
+    def part(number: int) -> Column:
+        return F.regexp_extract("raw", _YAML_LINE, number)
+
+    parsed = lines.select(
+        "file", "line", F.col("raw").rlike(_YAML_LINE).alias("good"), F.length(part(1)).alias("indent"),
+        _unquoted(part(2)).alias("name"), F.nullif(part(3), F.lit("")).alias("value"),
+    )
+    level = F.dense_rank().over(Window.partitionBy("file").orderBy("indent"))
+    above = Window.partitionBy("file").orderBy("line")
+    leveled = parsed.withColumn("level", level)
+    leveled = leveled.withColumn("sport", F.last(F.when(F.col("level") == 1, F.col("name")), True).over(above))
+    leveled = leveled.withColumn("canonical", F.last(F.when(F.col("level") == 2, F.col("name")), True).over(above))
+    good = F.col("good") & (F.col("level") <= 3) & (F.col("value").isNull() | (F.col("level") == 3))
+    wrong = F.raise_error(F.concat(F.lit("no block mapping of names: "), "file", F.lit(", line "), F.col("line") + 1))
+    source = F.when(F.col("level") == 3, F.col("name")).alias("source")
+    alias = F.when(~F.col("value").isin("~", "null"), _unquoted(F.col("value")))
+    position = F.struct("file", "line").alias("position")
+    return leveled.where(F.when(good, F.col("level") > 1).otherwise(wrong.cast("boolean"))).select("sport", "canonical", source, alias.alias("alias"), position)
+
+
+def _unquoted(text: Column) -> Column:
+    inner = F.substr(text, F.lit(2), F.length(text) - 2)
+    single, double = F.replace(inner, F.lit("''"), F.lit("'")), F.regexp_replace(inner, r"\\(.)", "$1")
+    return F.when(text.rlike("^'.*'$"), single).when(text.rlike('^".*"$'), double).otherwise(text)
+
+
 def alias_lookup(entries: DataFrame) -> DataFrame:
     """``(sport, alias_lower, canonical)`` with one row per sport and alias.
 

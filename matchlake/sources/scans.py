@@ -6,6 +6,8 @@ footers first.  Filters and column choices reach the files either way.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,8 @@ from matchlake import schemas
 from matchlake.session import any_file, path_exists
 
 SOURCE_FILE = "source_file"
+#: Where a row stood: its file, then its place there.  Orders rows as if all files were read one after another by path.
+POSITION = "position"
 
 
 def scan_file(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -29,20 +33,101 @@ def scan_tree(
     pattern: str = "*.parquet",
     schema: T.StructType | None = None,
     with_source: bool = False,
+    with_position: bool = False,
 ) -> DataFrame:
     """All Parquet files below a folder whose name matches the pattern.
 
     Columns in the files win over ``key=value`` folder names.  Without a schema
-    the columns of all files are merged.  ``with_source`` adds the file's path,
-    by which a later dedupe can tell newer snapshots from older ones.
+    the columns of all files are merged; where files disagree on a column's type it
+    gets the narrowest type that holds all of them (:func:`widest`).  ``with_source`` adds
+    the file's path, by which a later dedupe can tell newer snapshots from older ones,
+    ``with_position`` the path and the row's place in the file (:data:`POSITION`).
     """
     if not any_file(spark, folder, pattern):
         raise FileNotFoundError(f"no file {pattern} below {folder}")
-    reader = _reader(spark, schema).option("recursiveFileLookup", True)
-    if schema is None:
-        reader = reader.option("mergeSchema", True)
-    found = reader.option("pathGlobFilter", pattern).parquet(folder)
-    return found.withColumn(SOURCE_FILE, F.col("_metadata.file_path")) if with_source else found
+    extra = [F.col("_metadata.file_path").alias(SOURCE_FILE)] if with_source else []
+    if with_position:
+        extra.append(F.struct("_metadata.file_path", "_metadata.row_index").alias(POSITION))
+    reader = _reader(spark, schema).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    if schema is not None:
+        return _with(reader.parquet(folder), extra)
+    try:
+        return _with(reader.option("mergeSchema", True).parquet(folder), extra)
+    except (Py4JJavaError, PySparkException) as error:
+        if not _types_clash(error):
+            raise
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    files = sorted(row["path"] for row in listed.load(folder).select("path").collect())
+    groups = [spark.read.schema(kinds).parquet(*paths) for kinds, paths in _files_by_schema(spark, files)]
+    return _union_widened([_with(group, extra) for group in groups])
+
+
+def _types_clash(error: Exception) -> bool:
+    return any(name in str(error) for name in ("[CANNOT_MERGE_SCHEMAS]", "[CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE]"))
+
+
+def _with(found: DataFrame, extra: list[Column]) -> DataFrame:
+    return found.select("*", *extra) if extra else found
+
+
+def _files_by_schema(spark: SparkSession, files: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """The files in groups whose columns can be merged.
+
+    Spark merges the footers of a group in one job.  A group that cannot be merged is cut
+    in two; as schemas drift with time, and paths are dated, that takes some jobs for
+    each change, not for each file.  Neighbours that merge again are put together.
+    """
+    try:
+        return [(spark.read.option("mergeSchema", True).parquet(*files).schema, files)]
+    except (Py4JJavaError, PySparkException) as error:
+        if not _types_clash(error) or len(files) == 1:
+            raise
+    middle = len(files) // 2
+    found = _files_by_schema(spark, files[:middle]) + _files_by_schema(spark, files[middle:])
+    merged: dict[str, tuple[T.StructType, list[str]]] = {}
+    for kinds, paths in found:
+        merged.setdefault(kinds.json(), (kinds, []))[1].extend(paths)
+    return list(merged.values())
+
+
+_WHOLE = ("byte", "short", "integer", "long")
+
+
+def widest(kinds: list[T.DataType]) -> T.DataType:
+    """The type that columns of several types become when they are put together.
+
+    Whole numbers widen to the longest of them and, with any other number, to double;
+    dates with timestamps become timestamps; all else becomes text.
+    """
+    names = {kind.typeName() for kind in kinds} - {"void"}
+    if len({kind.json() for kind in kinds if kind.typeName() != "void"}) == 1:
+        return next(kind for kind in kinds if kind.typeName() != "void")
+    if not names:
+        return kinds[0]
+    if names <= {*_WHOLE}:
+        return max((k for k in kinds if k.typeName() in _WHOLE), key=lambda k: _WHOLE.index(k.typeName()))
+    if names <= {*_WHOLE, "float", "double", "decimal"}:
+        return T.DoubleType()
+    if names <= {"date", "timestamp", "timestamp_ntz"}:
+        return T.TimestampType() if "timestamp" in names else T.TimestampNTZType()
+    return T.StringType()
+
+
+def _union_widened(parts: list[DataFrame]) -> DataFrame:
+    """All rows, in the columns of all parts and the types that hold them."""
+    kinds: dict[str, list[T.DataType]] = {}
+    for part in parts:
+        for field in part.schema:
+            kinds.setdefault(field.name, []).append(field.dataType)
+    types = {name: widest(found) for name, found in kinds.items()}
+
+    def column(part: DataFrame, name: str) -> Column:
+        return (F.col(f"`{name}`") if name in part.columns else F.lit(None)).cast(types[name]).alias(name)
+
+    whole = parts[0].select(*[column(parts[0], name) for name in types])
+    for part in parts[1:]:
+        whole = whole.unionAll(part.select(*[column(part, name) for name in types]))
+    return whole
 
 
 def scan_bronze(
@@ -73,7 +158,7 @@ _BROKEN = "_broken_line"
 
 
 def scan_landing(
-    spark: SparkSession, path: str, dataset: str, format: str = "json", with_landed: bool = False
+    spark: SparkSession, path: str, dataset: str, format: str = "json", with_landed: bool = False, with_position: bool = False
 ) -> DataFrame:
     """Files as a feed delivers them, in JSON lines, CSV with a header, or Parquet.
 
@@ -81,14 +166,18 @@ def scan_landing(
     file.  Values of JSON and CSV are read as text and typed afterwards, so a whole
     number written as ``110.0`` is one.  JSON lines that do not parse are left out;
     :func:`broken_lines` counts them.  ``with_landed`` adds ``landed``, the time and
-    name of the file, by which later rows can be told from earlier ones.
+    name of the file, by which later rows can be told from earlier ones, ``with_position``
+    the file and the line's place in it.
     """
     schema = schemas.raw(dataset)
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no landing files at {path}")
+    extra = [_landed()] if with_landed else []
+    if with_position:
+        extra.append(_place(format))
     if format == "csv":
         parts = [
-            _typed(spark.read.option("header", True).csv(files), schema, with_landed)
+            _typed(spark.read.option("header", True).csv(files), schema, extra)
             for files in _files_by_header(spark, path)
         ]
         whole = parts[0]
@@ -97,9 +186,9 @@ def scan_landing(
         return whole
     if format == "json":
         lines = _json_lines(spark, path, schema).where(F.col(_BROKEN).isNull())
-        return _typed(lines, schema, with_landed)
+        return _typed(lines, schema, extra)
     found = spark.read.schema(schema).format(format).load(path)
-    return found.select(*schema.names, *([_landed()] if with_landed else []))
+    return found.select(*schema.names, *extra)
 
 
 def broken_lines(spark: SparkSession, path: str) -> int:
@@ -128,7 +217,14 @@ def _landed() -> Column:
     return F.struct("_metadata.file_modification_time", "_metadata.file_path").alias(LANDED)
 
 
-def _typed(texts: DataFrame, schema: T.StructType, with_landed: bool) -> DataFrame:
+def _place(format: str) -> Column:
+    """Text has no row numbers: a line's place is its block of the file, then its turn in the task that read it."""
+    if format == "parquet":
+        return F.struct("_metadata.file_path", "_metadata.row_index").alias(POSITION)
+    return F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("turn")).alias(POSITION)
+
+
+def _typed(texts: DataFrame, schema: T.StructType, extra: list[Column]) -> DataFrame:
     known = {name.lower(): name for name in texts.columns}
 
     def value(field: T.StructField) -> Column:
@@ -142,7 +238,7 @@ def _typed(texts: DataFrame, schema: T.StructType, with_landed: bool) -> DataFra
         return F.coalesce(text.try_cast(field.dataType), whole)
 
     columns = [value(field).alias(field.name) for field in schema]
-    return texts.select(*columns, *([_landed()] if with_landed else []))
+    return texts.select(*columns, *extra)
 
 
 def one_player(log: DataFrame, player_id: int) -> DataFrame:
