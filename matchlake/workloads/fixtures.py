@@ -52,7 +52,7 @@ def _sql(spark: SparkSession, sf_dir: str, text: str, *tables: str) -> DataFrame
 
 
 _MATCHES = """
-SELECT ((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 100000 + (l_suppkey * 31 + CAST(round(l_extendedprice * 100) AS BIGINT)) % 100000 AS match_id, year(o_orderdate) AS season, r_name AS league,
+SELECT CAST(conv(substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT))), 1, 15), 16, 10) AS BIGINT) AS match_id, year(o_orderdate) AS season, r_name AS league,
        CAST(o_orderdate AS DATE) AS match_date,
        home.n_nationkey AS home_team_id, home.n_name AS home_team,
        away.n_nationkey AS away_team_id, away.n_name AS away_team,
@@ -102,7 +102,7 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MATCHES_SQL = """
 fx_scores AS (
-    SELECT ((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 100000 + (l_suppkey * 31 + CAST(round(l_extendedprice * 100) AS BIGINT)) % 100000 AS match_id, CAST(year(o_orderdate) AS INT) AS season, r_name AS league,
+    SELECT ('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT))), 1, 15))::BIGINT AS match_id, CAST(year(o_orderdate) AS INT) AS season, r_name AS league,
            CAST(o_orderdate AS DATE) AS match_date,
            hn.n_nationkey AS home_team_id, hn.n_name AS home_team,
            an.n_nationkey AS away_team_id, an.n_name AS away_team,

@@ -302,7 +302,7 @@ ORACLES = {
     "filter_week": f"""{_WITH_GAMES}
         SELECT game_id, season, week, home_team, away_team, home_score, away_score
         FROM fx_games WHERE week = 12""",
-    "pair_home_away": f"""WITH {fx.TEAM_LOG_SQL}
+    "pair_home_away": f"""WITH {fx.TEAM_LOG_SQL.replace("fx_team_log AS (", "fx_team_log AS MATERIALIZED (")}
         SELECT h.game_id, h.game_date, h.team_id AS home_team_id, h.team_name AS home_team_name,
                h.pts AS home_score, v.team_id AS away_team_id, v.team_name AS away_team_name,
                v.pts AS away_score
