@@ -100,7 +100,7 @@ def test_one_source_can_be_cancelled(spark, tmp_path):
         if season == "slow":
             return rows.where(F.udf(lambda: time.sleep(8) or True, "boolean")())
         time.sleep(4)
-        spark.interruptTag(jobs.source_tag("chess", "slow"))
+        spark.sparkContext.cancelJobsWithTag(jobs.source_tag("chess", "slow"))
         return rows
 
     lake = jobs.Lake("", f"{tmp_path}/b", "", seasons={"chess": ["slow", "quick"]}, sources=[jobs.Source("chess", "games", build)])
