@@ -4,7 +4,7 @@ Every whole text is scanned by three patterns.  Then a worklist unwraps it: perc
 escapes, Unicode escapes and base64 runs, whose bytes may themselves be compressed,
 become further layers, each scanned and unwrapped again until nothing new appears.
 A base64 run is in either alphabet, may be wrapped into lines (of 16 or more characters)
-and may be glued to a path or a name; bytes that are no text are scanned as Latin-1.
+and may be glued to a path or a name; of bytes that are no text the readable runs are scanned.
 Compressed bytes may also be written with percent, Unicode or byte escapes, and have several members.
 A layer already seen in the document is not entered twice, which also ends cycles.
 Each layer knows, for every character, which characters of the original text it came
@@ -45,17 +45,21 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_UNICODE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}")
+_UNICODE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|[\\%]u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|\\[0-3][0-7]{2}")
 #: Escapes of single bytes; those of characters may come with the usual letters.
 _PERCENT_BYTE = re.compile(r"%[0-9A-Fa-f]{2}")
-_CHARACTER_BYTE = re.compile(r"""\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|\\u\{0*[0-9A-Fa-f]{1,2}\}|\\[abfnrtv0'"\\]""")
+_CHARACTER_BYTE = re.compile(r"""\\[0-3][0-7]{2}|\\x[0-9A-Fa-f]{2}|(?:[\\%]u|\\U0000)00[0-9A-Fa-f]{2}|\\u\{0*[0-9A-Fa-f]{1,2}\}|\\[abfnrtv0'"\\]""")
 _LETTERS = dict(zip("abfnrtv0'\"\\", b"\a\b\f\n\r\t\v\0'\"\\", strict=True))
 #: Either alphabet, over line breaks.
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)*={0,2}")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 #: No secret and no encoding of one is without so many ASCII characters in a row.
 _ASCII = re.compile(rb"[\t-\r\x20-\x7e]{16}")
-_COMPRESSED = re.compile(rb"\x1f\x8b\x08|\x28\xb5\x2f\xfd|BZh[1-9](?=1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|[\x08\x18\x28\x38\x48\x58\x68\x78](?=[\x00-\xff])")
+_ISLAND = re.compile(rb"[\t-\r\x20-\x7e]{16,}")
+#: How gzip, zstandard, bzip2 and xz data begin; zlib has but two bytes that must go together.
+_MAGIC = re.compile(rb"\x1f\x8b\x08|\x28\xb5\x2f\xfd|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00")
+#: Of data that only look like zlib, so much is read for 16 ASCII characters in a row.
+_PROBE = 65_536
 
 Span = tuple[int, int, int]  # start, place of the kind in KINDS, end
 
@@ -102,7 +106,7 @@ class Layer:
     def within(self, start: int, end: int, new: str) -> Layer:
         """A layer of its own, all of it from one range."""
         a, b = self.origin(start, end)
-        return Layer(new, np.full(len(new), a), np.full(len(new), b))
+        return Layer(new, np.broadcast_to(np.int64(a), len(new)), np.broadcast_to(np.int64(b), len(new)))
 
 
 def _text(raw: bytes) -> str:
@@ -112,6 +116,14 @@ def _text(raw: bytes) -> str:
         return raw.decode("latin-1")
 
 
+def _islands(raw: bytes) -> str:
+    """The bytes as text, or what is readable in them; nothing that is looked for goes over a zero character."""
+    try:
+        return raw.decode()
+    except UnicodeDecodeError:
+        return "\0".join(x[0].decode() for x in _ISLAND.finditer(raw))
+
+
 def _clean(raw: bytes) -> bool:
     """Whether the bytes are text and nothing else."""
     try:
@@ -121,63 +133,108 @@ def _clean(raw: bytes) -> bool:
     return not any(x < " " and x not in "\t\n\r\f\v" or x == "\x7f" for x in text)
 
 
+class _Zlib:
+    """A zlib or gzip stream; input that is not used up stays with it."""
+
+    def __init__(self) -> None:
+        self.coder, self.tail = zlib.decompressobj(47), b""
+
+    eof = property(lambda self: self.coder.eof)
+    unused_data = property(lambda self: self.coder.unused_data)
+    needs_input = property(lambda self: not self.coder.unconsumed_tail)
+
+    def decompress(self, raw: bytes, most: int) -> bytes:
+        return self.coder.decompress(self.coder.unconsumed_tail + raw, most)
+
+
 class _Zstd:
     """A zstandard frame, read like the other formats; a few input bytes at a time, so that no call gives much."""
 
     def __init__(self) -> None:
-        self.coder, self.unused_data = zstandard.ZstdDecompressor().decompressobj(), b""
+        self.coder, self.rest = zstandard.ZstdDecompressor().decompressobj(), b""
 
-    @property
-    def eof(self) -> bool:
-        return self.coder.eof
+    eof = property(lambda self: self.coder.eof)
+    unused_data = property(lambda self: self.coder.unused_data + self.rest if self.coder.eof else b"")
+    needs_input = property(lambda self: not self.rest)
 
     def decompress(self, raw: bytes, most: int) -> bytes:
-        out, at, total = [], 0, 0
-        while at < len(raw) and not self.coder.eof and total < most:
-            out.append(self.coder.decompress(raw[at : at + 256]))
+        self.rest, out, at, total = self.rest + raw, [], 0, 0
+        while at < len(self.rest) and not self.coder.eof and total < most:
+            out.append(self.coder.decompress(self.rest[at : at + 256]))
             total += len(out[-1])
             at += 256
-        self.unused_data = self.coder.unused_data + raw[at:]
+        self.rest = self.rest[at:]
         return b"".join(out)
 
 
-def _coder(raw: bytes):
-    if raw[:1] == b"\x28" and raw[1:4] == b"\xb5\x2f\xfd":
+def _coder(head: bytes):
+    if head[:4] == b"\x28\xb5\x2f\xfd":
         return _Zstd()
-    if raw[:3] == b"BZh":
+    if head[:3] == b"BZh":
         return bz2.BZ2Decompressor()
-    if raw[:1] == b"\xfd":
+    if head[:1] == b"\xfd":
         return lzma.LZMADecompressor(memlimit=256_000_000)
-    return zlib.decompressobj(47)
-
-
-def _expanded(raw: bytes, limit: int) -> tuple[bytes, int, bool] | None:
-    """Decompressed bytes, cut at the limit plus one, how many bytes they came from, and whether those had an end; None if they are not compressed."""
-    parts: list[bytes] = []
-    rest, size, ended = raw, 0, False
-    while size <= limit:
-        coder = _coder(rest)
-        try:
-            parts.append(coder.decompress(rest, limit + 1 - size))
-        except (zlib.error, zstandard.ZstdError, OSError, EOFError, lzma.LZMAError, ValueError):
-            break
-        size += len(parts[-1])
-        ended = coder.eof
-        rest = coder.unused_data if ended else b""
+    return _Zlib()
+
+
+def _member(raw: bytes, start: int, limit: int) -> tuple[bytes, int, bool] | None:
+    """Bytes of the stream that begins here, cut behind the limit, where it ends, and whether it has an end; None if there is none.
+
+    Input goes in by pieces, so bytes that are no stream cost a piece.  The two bytes of
+    zlib are met by chance in any binary data: such a stream counts if its checksum is
+    right or if its first part holds readable text.
+    """
+    view, coder, parts, size, at, step = memoryview(raw), _coder(raw[start : start + 4]), [], 0, start, 512
+    weak = isinstance(coder, _Zlib) and raw[start] != 0x1F
+    try:
+        while size <= limit and not coder.eof and at < len(raw):
+            chunk = bytes(view[at : at + step])
+            at += len(chunk)
+            step = min(4 * step, 1 << 20)
+            parts.append(coder.decompress(chunk, limit + 1 - size))
+            size += len(parts[-1])
+            while size <= limit and not coder.eof and not coder.needs_input:
+                parts.append(coder.decompress(b"", limit + 1 - size))
+                size += len(parts[-1])
+                if not parts[-1]:
+                    break
+            if weak and size >= _PROBE and not coder.eof:
+                if not _ASCII.search(b"".join(parts)[:_PROBE]):
+                    return None
+                weak = False
+    except (zlib.error, zstandard.ZstdError, OSError, EOFError, lzma.LZMAError, ValueError):
+        # what a broken stream gave before is worth reading only if it can be read
+        found = b"".join(parts)
+        return (found, at, False) if _ASCII.search(found) else None
+    found = b"".join(parts)
+    if weak and not coder.eof and not _ASCII.search(found):
+        return None
+    return found, at - len(coder.unused_data) if coder.eof else at, coder.eof
+
+
+def _expanded(raw: bytes, start: int, limit: int) -> tuple[bytes, int, bool] | None:
+    """Decompressed bytes of all members, cut behind the limit, where they end, and whether they have an end."""
+    parts, size, at, ended = [], 0, start, False
+    while size <= limit and (found := _member(raw, at, limit - size)) is not None:
+        inner, at, ended = found
+        parts.append(inner)
+        size += len(inner)
         # members of one file follow one another, at most with zeros between
-        following = rest.lstrip(b"\0")
-        if not ended or following[:3] != raw[:3] or len(following) < 3:
+        following = at + len(raw[at : at + 4096]) - len(raw[at : at + 4096].lstrip(b"\0"))
+        if not ended or raw[following : following + 3] != raw[start : start + 3]:
             break
-        rest = following
-    return (b"".join(parts), len(raw) - len(rest), ended) if parts else None
+        at = following
+    return (b"".join(parts), at, ended) if size else None
 
 
-def _starts(raw: bytes) -> Iterator[int]:
+def _starts(raw: bytes) -> list[int]:
     """Where compressed data may begin: two bytes are a zlib header if they divide by 31, and name no dictionary."""
-    for m in _COMPRESSED.finditer(raw):
-        i = m.start()
-        if m.end() > i + 1 or (raw[i] * 256 + raw[i + 1]) % 31 == 0 and not raw[i + 1] & 32:
-            yield i
+    data = np.frombuffer(raw, np.uint8)
+    first, second = data[:-1], data[1:]
+    zlib_heads = np.flatnonzero((first & 0x8F) == 8)
+    pairs = first[zlib_heads].astype(np.int64) * 256 + second[zlib_heads]
+    zlib_heads = zlib_heads[(pairs % 31 == 0) & (second[zlib_heads] & 32 == 0)]
+    return sorted({*zlib_heads.tolist(), *(m.start() for m in _MAGIC.finditer(raw))})
 
 
 class Budget:
@@ -196,12 +253,12 @@ def _streams(raw: bytes, budget: Budget) -> Iterator[tuple[int, int, bytes | Non
         for start in _starts(data):
             if start < after:
                 continue
-            if (found := _expanded(data[start:] if start else data, min(budget.layer, max(0, budget.left)))) is None or not found[0]:
+            if (found := _expanded(data, start, min(budget.layer, max(0, budget.left)))) is None:
                 continue
-            inner, used, ended = found
-            after = start + used if ended else 0
+            inner, end, ended = found
+            after = end if ended else 0
             budget.left -= len(inner)
-            a, b = place or (start, start + used)
+            a, b = place or (start, end)
             if len(inner) > budget.layer or budget.left < 0:
                 yield a, b, None
             else:
@@ -225,11 +282,17 @@ def _bytes_of(layer: Layer, escapes: re.Pattern[str], budget: Budget) -> Iterato
                 if inner is None:
                     yield None
                 elif _ASCII.search(inner):
-                    yield own.within(m.start() + a, m.start() + b, _text(inner))
+                    yield own.within(m.start() + a, m.start() + b, _islands(inner))
 
 
 def _byte(escape: str) -> int:
-    return _LETTERS[escape[1]] if escape[0] == "\\" and escape[1] in _LETTERS else int(escape.lstrip("%\\xu{").rstrip("}"), 16)
+    if escape[0] == "\\" and escape[1:].isdigit() and len(escape) == 4:
+        return int(escape[1:], 8)
+    return _LETTERS[escape[1]] if escape[0] == "\\" and escape[1] in _LETTERS else int(escape.lstrip("%\\xuU{").rstrip("}"), 16)
+
+
+def _point(escape: str) -> int:
+    return int(escape[1:], 8) if escape[1].isdigit() else int(escape[2:].strip("{}"), 16)
 
 
 def _base64(layer: Layer, start: int, run: str, budget: Budget) -> Iterator[Layer | None]:
@@ -267,7 +330,7 @@ def _base64(layer: Layer, start: int, run: str, budget: Budget) -> Iterator[Laye
                 first = phase + a * 4 // 3
                 before = bisect_right(own, first)
                 last = start + len(run) if b == len(raw) else place(min(len(body) - 1, phase + -(-b * 4 // 3) - 1)) + 1
-                yield layer.within(place(own[before - 1] if before else first), last, _text(inner))
+                yield layer.within(place(own[before - 1] if before else first), last, _islands(inner))
         if whole:
             return
 
@@ -278,8 +341,8 @@ def unwrap(layer: Layer, settings: Settings, budget: Budget) -> Iterator[Layer |
     if "%" in text and (pieces := [(m.start(), m.end(), _percent(m)) for m in _PERCENT.finditer(text)]):
         yield layer.rewritten(pieces)
         yield from _bytes_of(layer, _PERCENT_BYTE, budget)
-    if "\\" in text:
-        points = [(m.start(), m.end(), int(re.sub(r"[^0-9A-Fa-f]", "", m[0][2:]), 16)) for m in _UNICODE.finditer(text)]
+    if "\\" in text or "%u" in text:
+        points = [(m.start(), m.end(), _point(m[0])) for m in _UNICODE.finditer(text)]
         if pieces := [(a, b, chr(x)) for a, b, x in points if x < 0xD800 or 0xDFFF < x <= 0x10FFFF]:
             yield layer.rewritten(pieces)
             yield from _bytes_of(layer, _CHARACTER_BYTE, budget)
