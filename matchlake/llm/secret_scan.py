@@ -177,15 +177,15 @@ def _coder(head: bytes):
     return _Zlib()
 
 
-def _member(raw: bytes, start: int, limit: int) -> tuple[bytes, int, bool] | None:
+def _member(raw: bytes, start: int, limit: int, follows: bool = False) -> tuple[bytes, int, bool] | None:
     """Bytes of the stream that begins here, cut behind the limit, where it ends, and whether it has an end; None if there is none.
 
     Input goes in by pieces, so bytes that are no stream cost a piece.  The two bytes of
     zlib are met by chance in any binary data: such a stream counts if its checksum is
-    right or if its first part holds readable text.
+    right, if its first part holds readable text or if it ``follows`` one that counts.
     """
     view, coder, parts, size, at, step = memoryview(raw), _coder(raw[start : start + 4]), [], 0, start, 512
-    weak = isinstance(coder, _Zlib) and raw[start] != 0x1F
+    weak = isinstance(coder, _Zlib) and raw[start] != 0x1F and not follows
     try:
         while size <= limit and not coder.eof and at < len(raw):
             chunk = bytes(view[at : at + step])
@@ -215,7 +215,7 @@ def _member(raw: bytes, start: int, limit: int) -> tuple[bytes, int, bool] | Non
 def _expanded(raw: bytes, start: int, limit: int) -> tuple[bytes, int, bool] | None:
     """Decompressed bytes of all members, cut behind the limit, where they end, and whether they have an end."""
     parts, size, at, ended = [], 0, start, False
-    while size <= limit and (found := _member(raw, at, limit - size)) is not None:
+    while size <= limit and (found := _member(raw, at, limit - size, ended)) is not None:
         inner, at, ended = found
         parts.append(inner)
         size += len(inner)
