@@ -55,6 +55,8 @@ class WordHashes(dict):
 
 
 _PIECE = 1 << 18
+#: Longer words are hashed by xxhash: words of some hundred bytes can be made that no polynomial modulo 2^64 tells apart.
+_LONG = 256
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -84,12 +86,15 @@ class Scanner:
     """Hashes of the words of texts, straight from Arrow's buffers.
 
     With powers of an odd base a word's polynomial hash is a difference of two running
-    sums times an inverse power, all modulo 2^64, so no word becomes a Python object.
+    sums times an inverse power, all modulo 2^64, so no word becomes a Python object but
+    the rare long one.
     """
 
     def __init__(self, values: np.ndarray, prepare: Callable[[pa.Array], pa.Array] | None = None) -> None:
         """``values``: of each byte, 0 for those between words; ``prepare`` is applied to the texts first."""
         self.values, self.prepare = values, prepare
+        # bytes of equal values are the same to long words as well
+        self.alike = bytes(int(np.flatnonzero(values == x)[0]) for x in values)
         self.powers, self.inverses = _powers(_BASE, _PIECE), _powers(_INVERSE, _PIECE)
 
     def words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -125,6 +130,8 @@ class Scanner:
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(values * self.powers[:n], out=sums[1:])
         hashes = mixed((sums[ends] - sums[begins]) * self.inverses[begins])
+        for i in np.flatnonzero(ends - begins > _LONG):
+            hashes[i] = xxhash.xxh3_64_intdigest(data[begins[i] : ends[i]].tobytes().translate(self.alike))
         return hashes, np.diff(np.searchsorted(begins, offsets))
 
 

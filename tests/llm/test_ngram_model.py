@@ -4,11 +4,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from matchlake.llm import chunks as C
-from matchlake.llm.ngram_model import EliasFano, Level, Settings, code, decoded, score
+from matchlake.llm.ngram_model import _VALUES, EliasFano, Level, Settings, code, decoded, score
+from matchlake.llm.text import Scanner
 
 
 def brute(rows, strength):
@@ -89,3 +91,12 @@ def test_level_finds_children_of_their_context(tmp_path):
 def test_quantised_steps_are_fine():
     p = np.array([0, 1e-9, 0.25, 1.0])
     assert np.allclose(decoded(code(p)), p, rtol=4e-4, atol=0)
+
+
+def test_long_words_that_polynomials_confuse():
+    """Thue-Morse words and their complements have one hash under any base modulo 2^64."""
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    for n in (300, 1024, 4096):
+        one, other = ("".join(pair[b] for b in bits[:n]) for pair in ("ab", "ba"))
+        hashes, lengths = Scanner(_VALUES).words(pa.array([f"{one} {other} {one.upper()}"]))
+        assert lengths.tolist() == [3] and hashes[0] == hashes[2] != hashes[1]
