@@ -38,6 +38,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from matchlake.llm import chunks as C
 from matchlake.llm.text import Scanner, byte_values, documents, short_lived_shuffles
@@ -355,16 +356,17 @@ def _slices(batch: pa.RecordBatch, size: int = 1000) -> Iterator[pa.RecordBatch]
 def find_contamination(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, item_id, cosine, lcs_share, answer_found, verdict for each document and item found in it."""
     kinds = [x.schema[name].dataType.simpleString() for x, name in ((docs, "doc_id"), (benchmark, "item_id"))]
+    item_kind = to_arrow_type(benchmark.schema["item_id"].dataType)
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, cosine double, lcs_share double, answer_found boolean, verdict string"
     narrow = docs.select("doc_id", "text")
     out = None
     for model in models(benchmark, word_counts(docs), settings):
-        part = narrow.mapInArrow(_finder(model, settings), schema)
+        part = narrow.mapInArrow(_finder(model, settings, item_kind), schema)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def _finder(model: Model, settings: Settings):
+def _finder(model: Model, settings: Settings, item_kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher = Searcher(model, settings)
         for batch in batches:
@@ -374,7 +376,7 @@ def _finder(model: Model, settings: Settings):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).take(pa.array([d for d, _ in found], pa.int64())),
-                        pa.array([model.item_ids[i] for _, i in found], pa.int64()),
+                        pa.array([model.item_ids[i] for _, i in found], item_kind),
                         *(pa.array(x, kind) for x, kind in zip(columns, (pa.float64(), pa.float64(), pa.bool_(), pa.string()), strict=True)),
                     ],
                     names=["doc_id", "item_id", "cosine", "lcs_share", "answer_found", "verdict"],

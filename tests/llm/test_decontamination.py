@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
+from pyspark.sql import functions as F
 
 from matchlake.llm.decontamination import _VALUES, Scanner, Settings, _masks, common_subsequence, drop_contaminated, find_contamination, op6_decontaminate
 
@@ -89,3 +90,10 @@ def test_passages_of_longer_items_are_copies(docs, spark):
     rows = sorted((r["doc_id"], r["item_id"], r["verdict"]) for r in find_contamination(docs(*enumerate(texts)), bench).collect())
     assert rows == [(0, 0, "copy"), (1, 0, "copy"), (2, 1, "copy"), (3, 1, "copy"), (6, 2, "copy")]
     assert sorted(r["doc_id"] for r in drop_contaminated(docs(*enumerate(texts)), bench).collect()) == [4, 5]
+
+
+def test_ids_of_any_type(docs, benchmark):
+    named = benchmark.withColumn("item_id", F.concat(F.lit("item "), "item_id"))
+    texts = [f"{filler(30, 91)} {benchmark.first()['text']} {filler(30, 92)}"]
+    rows = find_contamination(docs(*enumerate(texts)), named).collect()
+    assert [r["item_id"] for r in rows] == [f"item {benchmark.first()['item_id']}"]
