@@ -10,7 +10,7 @@ such a progression at the first level of at least q words, so none is missed.  P
 are extended to both sides by descending through the levels, and equal stretches are
 kept once, with their smallest period.
 
-Documents are taken some megabytes at a time, so that the levels are built over many
+Documents are taken about a megabyte at a time, so that the levels are built over many
 short texts at once; a name includes the document, so nothing crosses from one text to
 the next.  Memory: 4 bytes a word and level for one such piece or one longer text.
 Nothing is shuffled.
@@ -38,7 +38,7 @@ class Settings:
 
     min_words: int = 6
     min_periods: int = 4
-    piece_bytes: int = 4_000_000
+    piece_bytes: int = 1_000_000
 
 
 class Factors:
@@ -179,16 +179,18 @@ def with_planted_runs(docs: DataFrame) -> DataFrame:
     g = F.floor(h / 10)
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
 
-    def around(words: F.Column, a: F.Column, p: F.Column) -> F.Column:
-        return F.array_join(F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.element_at(words, (a + (i - a) % p).cast("int") + 1))), " ")
-
-    def planted(words: F.Column) -> F.Column:
+    def laid(words: F.Column) -> F.Column:
         n = F.size(words)
         a = g % n
-        return around(words, a, 1 + F.floor((n - a) / (3 + g % 8)))
+        return F.struct(words.alias("words"), a.alias("a"), (1 + F.floor((n - a) / (3 + g % 8))).alias("p"))
+
+    def around(of: F.Column) -> F.Column:
+        return F.array_join(
+            F.transform(of["words"], lambda w, i: F.when(i < of["a"], w).otherwise(F.element_at(of["words"], (of["a"] + (i - of["a"]) % of["p"]).cast("int") + 1))), " "
+        )
 
     chosen = F.coalesce((h % 10 == 0) & F.col("text").rlike(WORD), F.lit(False))
-    return docs.select("doc_id", F.when(chosen, F.transform(F.array(words), planted)[0]).otherwise(F.col("text")).alias("text"))
+    return docs.select("doc_id", F.when(chosen, F.transform(F.transform(F.array(words), laid), around)[0]).otherwise(F.col("text")).alias("text"))
 
 
 def op11_find_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
