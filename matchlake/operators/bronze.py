@@ -142,6 +142,13 @@ def basketball_teams(
     )
 
 
+def team_list(team_log: DataFrame) -> DataFrame:
+    """The teams of a game log under their latest names; the short name is how their matchups begin."""
+    named = F.struct("GAME_DATE", F.col("TEAM_NAME").alias("full_name"), F.regexp_extract("MATCHUP", r"^(.*?) (?:@|vs\.) ", 1).alias("abbreviation"))
+    latest = team_log.where("TEAM_ID IS NOT NULL").groupBy(F.col("TEAM_ID").cast("bigint").alias("id")).agg(F.max(named).alias("latest"))
+    return latest.select("id", "latest.full_name", "latest.abbreviation")
+
+
 def football_games(
     schedule: DataFrame,
     season: int | Column,

@@ -169,6 +169,60 @@ FROM (
 """
 
 
+_MONTH_SIDES = sides_sql(
+    """(
+        SELECT league, season, last_day(match_date) AS month, home_team, away_team, home_goals, away_goals,
+               result = 'H' AS home_won, result = 'A' AS away_won, result = 'D' AS drawn
+        FROM {matches} WHERE home_goals IS NOT NULL AND match_date IS NOT NULL
+    )""",
+    keep=["league", "season", "month", "drawn"],
+    mirrored={
+        "team": ("home_team", "away_team"),
+        "won": ("home_won", "away_won"),
+        "lost": ("away_won", "home_won"),
+        "scored": ("home_goals", "away_goals"),
+        "conceded": ("away_goals", "home_goals"),
+    },
+)
+
+_MONTH_SUMS = f"""
+SELECT league, season, month, team,
+       count(*) AS n, count(*) FILTER (WHERE won) AS w, count(*) FILTER (WHERE drawn) AS d,
+       count(*) FILTER (WHERE lost) AS l, sum(scored) AS f, sum(conceded) AS a
+FROM ({_MONTH_SIDES}) GROUP BY league, season, month, team
+"""
+
+# A row per team and month it played in holds until its next one; in between it is repeated
+# for the months that others played in.  All windows run within a league and season, and
+# so after one shuffle of a row per team and month.
+STANDINGS_BY_MONTH = f"""
+SELECT league, season, as_of, rank, team, matches_played, wins, draws, losses, goals_for, goals_against,
+       goal_difference, points,
+       lag(rank) OVER (PARTITION BY league, season, team ORDER BY as_of) - rank AS places_gained
+FROM (
+    SELECT *, CAST(row_number() OVER (
+               PARTITION BY league, season, as_of
+               ORDER BY points DESC NULLS LAST, goal_difference DESC NULLS LAST,
+                        goals_for DESC NULLS LAST, team ASC NULLS LAST) AS BIGINT) AS rank
+    FROM (
+        SELECT league, season, explode(filter(months, m -> m >= month AND (until IS NULL OR m < until))) AS as_of, team,
+               matches_played, wins, draws, losses, goals_for, goals_against,
+               goals_for - goals_against AS goal_difference, 3 * wins + draws AS points
+        FROM (
+            SELECT league, season, month, team,
+                   collect_set(month) OVER (PARTITION BY league, season) AS months,
+                   lead(month) OVER so_far AS until,
+                   sum(n) OVER so_far AS matches_played, sum(w) OVER so_far AS wins,
+                   sum(d) OVER so_far AS draws, sum(l) OVER so_far AS losses,
+                   sum(f) OVER so_far AS goals_for, sum(a) OVER so_far AS goals_against
+            FROM ({_MONTH_SUMS})
+            WINDOW so_far AS (PARTITION BY league, season, team ORDER BY month)
+        )
+    )
+)
+"""
+
+
 def league_standings(matches: DataFrame) -> DataFrame:
     """Points table per league and season (3 for a win, 1 for a draw)."""
     return matches.sparkSession.sql(LEAGUE_STANDINGS, matches=matches)
@@ -182,3 +236,12 @@ def winpct_standings(games: DataFrame) -> DataFrame:
 def winpct_standings_ties(games: DataFrame) -> DataFrame:
     """Win-percentage table per season that counts ties apart."""
     return games.sparkSession.sql(WINPCT_STANDINGS_TIES, matches=games)
+
+
+def standings_by_month(matches: DataFrame) -> DataFrame:
+    """Points table per league and season as of the end of each month that saw a match.
+
+    A table lists the teams that have played by then; ``places_gained`` is what a team rose
+    since its table before.  Matches without a date are left out.
+    """
+    return matches.sparkSession.sql(STANDINGS_BY_MONTH, matches=matches)

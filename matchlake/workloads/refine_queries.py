@@ -210,13 +210,16 @@ def _proj_player_log(spark, d):
     )
 
 
-def _proj_optional_cols(spark, d):
-    """Season metrics from a feed without two of the four rating columns."""
-    metrics = fx.table(spark, d, "customer").selectExpr(
+def _raw_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Season metrics of a feed without two of the four rating columns."""
+    return fx.table(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS TEAM_ID", "c_name AS TEAM_NAME", "82 AS GP", "c_nationkey AS W",
         "82 - c_nationkey AS L", "c_acctbal AS E_OFF_RATING", "-c_acctbal AS E_PACE",
     )
-    return bronze.basketball_teams(metrics, season="2024-25").drop("extract_timestamp")
+
+
+def _proj_optional_cols(spark, d):
+    return bronze.basketball_teams(_raw_metrics(spark, d), season="2024-25").drop("extract_timestamp")
 
 
 def _schedule(spark, d):
@@ -253,14 +256,18 @@ def _proj_schedule(spark, d):
     return games.drop("extract_timestamp").withColumn("gameday", F.col("gameday").cast("date"))
 
 
-def _proj_player_week(spark, d):
-    weeks = fx.table(spark, d, "lineitem").selectExpr(
+def _raw_player_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly player lines with the column names of the feed."""
+    return fx.table(spark, sf_dir, "lineitem").selectExpr(
         "CAST(l_partkey AS STRING) AS player_id", "'P.' || l_partkey AS player_name",
         "'Player ' || l_partkey AS player_display_name", "1 + l_linenumber AS week",
         "CAST(l_quantity AS BIGINT) AS attempts", "l_extendedprice AS passing_yards",
         "l_suppkey % 4 AS passing_tds",
     )
-    return bronze.football_players(weeks, season=2024).drop("extract_timestamp")
+
+
+def _proj_player_week(spark, d):
+    return bronze.football_players(_raw_player_weeks(spark, d), season=2024).drop("extract_timestamp")
 
 
 def _proj_team_season(spark, d):

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.workloads import gold_queries, intake_queries, page_queries, refine_queries, storage_queries
+from matchlake.workloads import gold_queries, intake_queries, page_queries, refine_queries, season_queries, storage_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (gold_queries, refine_queries, page_queries, storage_queries, intake_queries)
+_MODULES = (gold_queries, refine_queries, page_queries, storage_queries, intake_queries, season_queries)
 
 
 def queries() -> dict[str, Query]:
