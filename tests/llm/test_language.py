@@ -1,6 +1,11 @@
+import math
+import re
+import string
 import zlib
 
 import pyarrow.parquet as pq
+import xxhash
+import zstandard
 
 from matchlake.llm import language as L
 
@@ -55,3 +60,43 @@ def test_few_texts_share_the_whole_dictionary(docs):
     learned = L.learn(docs((1, long, "xx"), (2, short, "xx"), (3, " ".join(word(i) for i in range(9000, 30000)), "yy")).select("text", "lang"))
     assert sorted(learned["xx"].split(b"\n")) == sorted([long.encode(), short.encode()])
     assert len(learned["yy"]) == L.Settings().dictionary_bytes
+
+
+def distinct_words(text):
+    blanks = string.punctuation + string.digits + "".join(map(chr, range(33))) + chr(127)
+    plain = text.translate(str.maketrans(blanks + string.ascii_uppercase, " " * len(blanks) + string.ascii_lowercase))
+    return " ".join(dict.fromkeys(x for x in plain.split(" ") if x)).encode()
+
+
+def test_equals_dictionaries_and_sizes_worked_out_one_by_one(spark, sample):
+    """The sample of a language is its distinct texts of the smallest hashes; the verdict compares encoded sizes."""
+    settings = L.Settings(sample_texts=5, dictionary_bytes=100_000)
+    docs = spark.read.parquet(f"{sample}/documents.parquet").select("doc_id", "text", "lang")
+    table = docs.collect()
+    letter = [r for r in table if r["text"] and re.search(r"[^\W\d_]", r["text"])]
+    dictionaries = {}
+    for lang in {r["lang"] for r in letter} - {None}:
+        hashes = {xxhash.xxh64_intdigest(r["text"].encode(), 42) >> 1: r["text"] for r in letter if r["lang"] == lang}
+        dictionaries[lang] = b"\n".join(distinct_words(hashes[h]) for h in sorted(hashes)[:5])
+        assert len(dictionaries[lang]) < settings.dictionary_bytes
+    learned = L.learn(docs.select("text", "lang"), settings)
+    assert learned == dictionaries
+
+    def size(lang, text, level):
+        held = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(level=level, dict_data=held, write_content_size=False).compress(text))
+
+    want = {}
+    for r in table:
+        want[r["doc_id"]] = ("und", 0.0, True)
+    for r in letter:
+        text = distinct_words(r["text"])
+        for level in (settings.level, settings.tie_level):
+            ranked = sorted((size(lang, text, level), i, lang) for i, lang in enumerate(learned))
+            (best, _, lang), (second, _, _) = ranked[:2]
+            if best != second:
+                break
+        share = (second - best) / second
+        want[r["doc_id"]] = (lang, math.sqrt(share), len(text) >= settings.evidence_bytes and share <= settings.min_margin)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"], r["rejected"]) for r in L.identify(docs, learned, settings).collect()}
+    assert got == want
