@@ -97,3 +97,34 @@ def test_ids_of_any_type(docs, benchmark):
     texts = [f"{filler(30, 91)} {benchmark.first()['text']} {filler(30, 92)}"]
     rows = find_contamination(docs(*enumerate(texts)), named).collect()
     assert [r["item_id"] for r in rows] == [f"item {benchmark.first()['item_id']}"]
+
+
+def changed(words, kind, share, draw):
+    """The words, all but the last three of them replaced, left out, or put further apart by the share given."""
+    at = set(draw.sample(range(len(words) - 3), round(share * len(words))))
+    if kind == "replaced":
+        return ["something" if i in at else w for i, w in enumerate(words)]
+    if kind == "left out":
+        return [w for i, w in enumerate(words) if i not in at]
+    return [x for i, w in enumerate(words) for x in (["something", w] if i in at else [w])]
+
+
+def recall_by_kind(spark, kinds):
+    """The share of the benchmark's items found in texts that hold them changed, and the texts found without one."""
+    bench = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    items = [(r["item_id"], r["text"].split()) for r in bench.orderBy("item_id").collect() if len((r["text"] or "").split()) >= 12]
+    draw, rows, planted = random.Random(5), [], {}
+    for kind, share in kinds:
+        for item, words in items:
+            planted[len(rows)] = (kind, share, item)
+            rows.append((len(rows), f"{filler(60, len(rows))} {' '.join(changed(words, kind, share, draw))} {filler(60, -len(rows) - 1)}"))
+    clean = [(len(rows) + i, filler(150, 10**6 + i)) for i in range(200)]
+    texts = spark.createDataFrame(rows + clean, "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in find_contamination(texts, bench).collect()}
+    recall = {k: sum((d, x[2]) in found for d, x in planted.items() if x[:2] == k) / len(items) for k in kinds}
+    return recall, sorted({d for d, _ in found if d not in planted})
+
+
+def test_recall_of_paraphrases(spark):
+    recall, false = recall_by_kind(spark, [(k, s) for k in ("replaced", "left out", "apart") for s in (0.1, 0.2, 0.3)])
+    assert not false and min(recall.values()) >= 0.9
