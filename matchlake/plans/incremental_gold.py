@@ -9,7 +9,9 @@ have a row per team or pair and season, however many matches there were.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,11 @@ from matchlake.operators import form, records, standings
 from matchlake.session import drop_folder, path_exists
 
 _SEASON = "season_folder"
+# The columns of matches that the states are made of.
+_NEEDED = (
+    "match_id", "season", "league", "match_date", "home_team", "away_team", "home_goals", "away_goals",
+    "home_xg", "away_xg", "result",
+)
 
 
 class GoldState:
@@ -32,18 +39,31 @@ class GoldState:
         ``emptied`` names seasons that have none any more.  A repeated refresh, after a
         failure for instance, gives the same states.
         """
-        sides = form.form_sides(matches, keep=["season"])
-        states = {
-            "standings": standings.league_standings(matches),
-            "pairs": records.head_to_head(matches, by=["season"]),
-            "form": form.last_sides(sides, self.n_matches, by=["season"]),
-        }
-        for name, state in states.items():
-            folders = state.withColumn(_SEASON, F.col("season").cast("string"))
-            folders = folders.hint("rebalance", _SEASON).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            folders.partitionBy(_SEASON).parquet(f"{self.root}/{name}")
-            for season in emptied:
-                drop_folder(self.spark, f"{self.root}/{name}/{_SEASON}={season}")
+        with self._stored(matches) as matches:
+            sides = form.form_sides(matches, keep=["season"])
+            states = {
+                "standings": standings.league_standings(matches),
+                "pairs": records.head_to_head(matches, by=["season"]),
+                "form": form.last_sides(sides, self.n_matches, by=["season"]),
+            }
+            for name, state in states.items():
+                folders = state.withColumn(_SEASON, F.col("season").cast("string"))
+                folders = folders.hint("rebalance", _SEASON).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                folders.partitionBy(_SEASON).parquet(f"{self.root}/{name}")
+                for season in emptied:
+                    drop_folder(self.spark, f"{self.root}/{name}/{_SEASON}={season}")
+
+    @contextmanager
+    def _stored(self, matches: DataFrame) -> Iterator[DataFrame]:
+        """What the states need of ``matches``, written once and read by each of them, so that joins and
+        shuffles behind the matches run once a refresh."""
+        path = f"{self.root}/_refresh-{uuid.uuid4().hex}"
+        needed = matches.select(*[c for c in matches.columns if c in _NEEDED])
+        try:
+            needed.write.option("compression", "zstd").parquet(path)
+            yield self.spark.read.schema(needed.schema).parquet(path)
+        finally:
+            drop_folder(self.spark, path)
 
     def _read(self, name: str) -> DataFrame:
         path = f"{self.root}/{name}"

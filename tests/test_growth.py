@@ -1,7 +1,11 @@
 """What is done once, in place or in pieces, so that it grows no faster than its input."""
 
 import re
+from pathlib import Path
 
+from pyspark.sql import functions as F
+
+from matchlake.plans.incremental_gold import GoldState
 from matchlake.workloads import fixtures as fx
 
 
@@ -15,3 +19,21 @@ def test_orders_meet_customers_before_lines(spark):
     depth = re.search(r"[A-Z]", plan[at]).start()
     below = [line for line in plan[at + 1 :] if re.search(r"[A-Z]", line).start() > depth]
     assert below and not any("l_orderkey" in line for line in plan[at : at + 1 + len(below)])
+
+
+def test_refresh_evaluates_the_matches_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(league):
+        seen.add(1)
+        return league
+
+    rows = [(f"m{i}", "2024", "A", "2024-01-01", "X", "Y", 1, 0, 1.0, 0.5, "H") for i in range(6)]
+    names = "match_id string, season string, league string, match_date string, home_team string, away_team string, home_goals bigint, away_goals bigint, home_xg double, away_xg double, result string"
+    counted = F.udf(count, "string").asNondeterministic()
+    matches = spark.createDataFrame(rows, names).withColumn("league", counted("league"))
+    state = GoldState(spark, f"{tmp_path}/state")
+    state.refresh(matches)
+    assert seen.value == 6
+    assert state.league_standings().count() == 2
+    assert {p.name for p in Path(f"{tmp_path}/state").iterdir()} == {"standings", "pairs", "form"}
