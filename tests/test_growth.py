@@ -5,6 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from matchlake.operators import page_tables
 from matchlake.plans.incremental_gold import GoldState
 from matchlake.workloads import fixtures as fx
 
@@ -37,3 +38,11 @@ def test_refresh_evaluates_the_matches_once(spark, tmp_path):
     assert seen.value == 6
     assert state.league_standings().count() == 2
     assert {p.name for p in Path(f"{tmp_path}/state").iterdir()} == {"standings", "pairs", "form"}
+
+
+def test_pages_are_read_in_pieces(spark):
+    n = 2 * page_tables._PAGES_AT_ONCE + 7
+    html = F.when(F.col("id") % 9 > 0, F.concat(F.lit("<table id='t'><tr><th>a<tr class=x><td>"), "id", F.lit("</td></tr></table>")))
+    pages = spark.range(n).coalesce(1).withColumn("html", html)
+    rows = page_tables.columns_of(page_tables.table_rows(pages, "t"), ["id"], "a").collect()
+    assert sorted((row["id"], row["a"]) for row in rows) == [(i, str(i)) for i in range(n) if i % 9]
