@@ -69,7 +69,7 @@ def _medallion_football(spark: SparkSession, d: str) -> DataFrame:
         "' Player ' || l_partkey AS player_display_name", "l_linenumber AS week",
         "CAST(q AS BIGINT) AS attempts", "4 * q AS passing_yards", "s % 4 AS passing_tds", "q / 2 AS rushing_yards",
     )
-    weeks.write.json(f"{lake.landing}/football/player_weeks/season=2024")
+    weeks.write.json(f"{lake.landing}/football/player_weeks/season=2024", compression="gzip")
     jobs.run(spark, lake, sport="football")
     return spark.table(f"{lake.schema}.nfl_players").select(
         "player_id", "season", "week", "player_name", "passing_attempts", "passing_yards", "passing_tds", "rushing_yards", "total_yards", "total_tds"
@@ -79,7 +79,7 @@ def _medallion_football(spark: SparkSession, d: str) -> DataFrame:
 def _medallion_players(spark: SparkSession, d: str) -> DataFrame:
     """From a landed player log to sums over the player games of the gold layer."""
     lake = _lake(spark, "basketball", "all", {})
-    rq._raw_player_log(spark, d).write.json(f"{lake.landing}/basketball/player_game_log/season=all")
+    rq._raw_player_log(spark, d).write.json(f"{lake.landing}/basketball/player_game_log/season=all", compression="gzip")
     jobs.run(spark, lake, sport="basketball")
     return spark.table(f"{lake.schema}.nba_player_games").groupBy("player_id", "player_name").agg(
         F.count("*").alias("games"), F.sum("points").alias("points"), F.sum("assists").alias("assists"), F.count_if("is_home").alias("home_games")

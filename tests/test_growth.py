@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from matchlake.operators import page_tables
 from matchlake.plans.incremental_gold import GoldState
+from matchlake.sources import scans
 from matchlake.workloads import fixtures as fx
+from matchlake.workloads import storage_queries as sq
 
 
 def _plan(df):
@@ -40,6 +42,27 @@ def test_refresh_evaluates_the_matches_once(spark, tmp_path):
     assert {p.name for p in Path(f"{tmp_path}/state").iterdir()} == {"standings", "pairs", "form"}
 
 
+def test_first_lines_are_found_without_sorting_all_lines(spark, tmp_path):
+    for i in range(5):
+        Path(tmp_path, f"{i}.csv").write_text(f"a,{'b' if i % 2 else 'c'}\n" + "9,9\n0,0\n" * 50)
+    found = scans._first_lines(spark, str(tmp_path))
+    assert sorted(row["header"] for row in found.collect()) == ["a,b"] * 2 + ["a,c"] * 3
+    assert "SortAggregate" not in _plan(found)
+
+
+def test_whole_numbers_with_a_point_are_not_cast_as_they_stand(spark, tmp_path):
+    values = ["110.0", "110", "7.5", "1e2", " 8 ", ".", "x", "9223372036854775807", "-3.0"]
+    Path(tmp_path, "log.json").write_text("".join(f'{{"PTS": "{v}"}}\n' for v in values))
+    found = scans.scan_landing(spark, str(tmp_path), "player_game_log")
+    assert [row["PTS"] for row in found.select("PTS").collect()] == [110, 110, None, 100, 8, None, None, 2**63 - 1, -3]
+    assert "Contains(" in _plan(found) or "contains" in _plan(found).lower()
+
+
+def test_landed_lines_are_compressed(spark):
+    files = sq._landing_json(spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and all(name.endswith(".json.gz") for name in files)
+
+
 def test_pages_are_read_in_pieces(spark):
     n = 2 * page_tables._PAGES_AT_ONCE + 7
     html = F.when(F.col("id") % 9 > 0, F.concat(F.lit("<table id='t'><tr><th>a<tr class=x><td>"), "id", F.lit("</td></tr></table>")))
