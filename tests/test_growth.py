@@ -6,7 +6,9 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from matchlake.operators import page_tables
+from matchlake.plans import jobs
 from matchlake.plans.incremental_gold import GoldState
+from matchlake.sinks import writers
 from matchlake.sources import scans
 from matchlake.workloads import fixtures as fx
 from matchlake.workloads import storage_queries as sq
@@ -58,6 +60,24 @@ def test_whole_numbers_with_a_point_are_not_cast_as_they_stand(spark, tmp_path):
     assert "Contains(" in _plan(found) or "contains" in _plan(found).lower()
 
 
+def test_a_snapshot_of_one_folder_moves_no_rows(spark, tmp_path, monkeypatch):
+    rows = spark.range(90).repartition(3).select(F.col("id").alias("n"), F.lit("2024").alias("season"))
+    assert writers.write_snapshot(rows, str(tmp_path), "basketball", "one", "d", one_folder=True) == 90
+    assert len(list(Path(tmp_path).rglob("*.parquet"))) == 3
+    told = {}
+    monkeypatch.setattr(jobs.writers, "write_snapshot", lambda df, root, sport, dataset, date, one: told.setdefault((sport, dataset), one) or 0)
+    own = jobs.Lake("", "b", "s", sources=[jobs.Source("football", "own", None)])
+    for lake, sport, dataset in ((own, "football", "own"), (own, "football", "games"), (own, "soccer", "teams")):
+        jobs._ingested(spark, lake, sport, "2024", "d", dataset, lambda: None)
+    assert told == {("football", "own"): False, ("football", "games"): True, ("soccer", "teams"): False}
+
+
+def test_silver_rows_that_come_by_season_stay_where_they_are(spark, tmp_path):
+    rows = spark.range(90).repartition(3).select(F.col("id").alias("n"), F.lit("2024").alias("season"))
+    path = writers.write_silver(rows, str(tmp_path), "basketball", "players", arranged=True)
+    assert len(list(Path(path).rglob("*.parquet"))) == 3
+
+
 def test_landed_lines_are_compressed(spark):
     files = sq._landing_json(spark, "/root/testdata/sf0.001").inputFiles()
     assert files and all(name.endswith(".json.gz") for name in files)
