@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchlake import schemas
+from matchlake.operators import top_n
 from matchlake.operators.quality import Rule
 from matchlake.operators.top_n import deduplicate_in_order
 from matchlake.plans import jobs
@@ -140,6 +141,47 @@ def test_input_order_decides(spark, tmp_path, keep, wanted):
     assert kept.columns == ["k", "v"] and {tuple(r) for r in kept.collect()} == wanted
 
 
+def test_positions_hold_numbers_of_files_in_order_of_their_paths(spark, tmp_path):
+    for name in ("z", "b c", "b%20c", "é+x", "q#r", "k=v"):
+        spark.range(2).coalesce(1).write.parquet(f"{tmp_path}/tree/{name}")
+    found = scans.scan_tree(spark, f"{tmp_path}/tree", "part-*.parquet", with_source=True, with_position=True)
+    assert found.schema[scans.POSITION].dataType.simpleString() == "struct<file:int,row_index:bigint>"
+    rows = sorted((r["source_file"], r["id"], tuple(r[scans.POSITION])) for r in found.collect())
+    assert [p for *_, p in rows] == [(n, i) for n in range(6) for i in range(2)] and [i for _, i, _ in rows] == [0, 1] * 6
+    spark.sql("SELECT 'x' AS id").write.parquet(f"{tmp_path}/tree/a")
+    drifted = scans.scan_tree(spark, f"{tmp_path}/tree", "part-*.parquet", with_position=True)
+    assert {(r["id"], *r[scans.POSITION]) for r in drifted.collect()} == {("x", 0, 0)} | {(str(i), n + 1, i) for n in range(6) for i in range(2)}
+
+
+def test_input_order_sorts_pieces_of_the_advisory_size(spark, tmp_path):
+    n = 40_000
+    rows = spark.range(0, n, 1, 8).selectExpr("if(id % 3 = 0, 0, id) AS k", "id AS v", "uuid() AS text")
+    rows.write.parquet(f"{tmp_path}/hot")
+    found = scans.scan_tree(spark, f"{tmp_path}/hot", "part-*.parquet", with_position=True)
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    try:
+        spark.conf.set(advisory, "64k")
+        near = top_n._near(found, ["k"]).groupBy(F.spark_partition_id())
+        sizes = [r["n"] for r in near.agg(F.count("text").alias("n")).collect()]
+        kept = deduplicate_in_order(found, ["k"], scans.POSITION)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        first = plan[plan.rindex("+- Sort") :]
+        got = {tuple(r) for r in kept.select("k", "v").collect()}
+    finally:
+        spark.conf.set(advisory, before)
+    assert sum(sizes) == n and max(sizes) < n / 6  # the hot key has n / 3
+    assert "REBALANCE" in first and "file_path" not in first[: first.index("Exchange")]
+    assert got == {(i, i) for i in range(n) if i % 3} | {(0, (n - 1) // 3 * 3)}
+
+
+@pytest.mark.parametrize("keep, wanted", [("last", 5), ("first", 0)])
+def test_input_order_without_keys_or_parts(spark, keep, wanted):
+    rows = spark.range(6).selectExpr("id", "id AS position", "id % 2 AS k")
+    assert [r["id"] for r in deduplicate_in_order(rows, [], "position", keep).collect()] == [wanted]
+    assert {r["id"] for r in deduplicate_in_order(rows, ["k"], "position", keep).collect()} == ({4, 5} if keep == "last" else {0, 1})
+
+
 def test_lines_of_landing_files_have_places(spark, tmp_path):
     for name, text in {"a": "id,full_name\n1,x\n2,y\n1,z\n", "b": "id,full_name\n2,w\n"}.items():
         (tmp_path / f"{name}.csv").write_text(text)
