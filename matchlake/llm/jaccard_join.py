@@ -10,8 +10,10 @@
 3. A cluster's sets go into a tree of common prefixes.  Each set walks the tree with
    its overlap so far, shared by all sets below a node, and leaves a subtree when the
    shingles that remain on either side cannot reach the overlap needed, when its sets
-   are too short or too long, or when all of them are known to be in the walker's
-   component.  So a cluster of near copies costs about one path for each set.
+   are too short or too long or share too little with any other, or when all of them are
+   known to be in the walker's component.  Sets in the middle of a cluster walk first,
+   and the children of a node are looked at together, so a cluster of near copies costs
+   about one path for each set.
 
 A cluster larger than ``unit_shingles`` is cut by hash into blocks.  Each block is
 joined within itself first; then only blocks of different components meet, those of
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +40,10 @@ from pyspark.sql import functions as F
 
 from matchlake.llm import chunks as C
 from matchlake.llm.components import components
-from matchlake.llm.text import Scratch, WordHashes, documents, text_bytes
+from matchlake.llm.text import Scanner, Scratch, WordHashes, byte_values, documents
+
+#: Of the bytes of words, A-Z like a-z.
+_VALUES = byte_values([i not in (9, 10, 11, 12, 13, 32) for i in range(256)], {i: i + 32 for i in range(65, 91)})
 
 
 @dataclass(frozen=True)
@@ -48,19 +54,31 @@ class Settings:
     words: int = 5
     percent: int = 80
     unit_shingles: int = 6_000_000
-    layout: C.Layout = field(default_factory=C.Layout)
+    layout: C.Layout = field(default_factory=lambda: C.Layout(level=3))
+
+
+@cache
+def _scanner() -> Scanner:
+    return Scanner(_VALUES)
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    return keys[new]
 
 
-def shingle_sets(texts: list[bytes], size: int, hashes: WordHashes) -> list[np.ndarray]:
-    """The sorted distinct shingles of each lower-cased text."""
-    words = C.Words([x.lower() for x in texts], hashes)
-    keys = C.windows(words.hashes, size)
+def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
+    """The sorted distinct shingles of each text, A-Z taken as a-z."""
+    hashes, lengths = _scanner().words(texts)
+    keys = C.windows(hashes, size)
     sets, begin = [], 0
-    for length, end in zip(words.lengths.tolist(), words.ends.tolist(), strict=True):
+    for length, end in zip(lengths.tolist(), np.cumsum(lengths).tolist(), strict=True):
         if length >= size:
-            sets.append(np.unique(keys[begin : end - size + 1]))
+            sets.append(_distinct(keys[begin : end - size + 1]))
         elif length:
-            sets.append(C.windows(words.hashes[begin:end] ^ np.uint64(length), length))
+            sets.append(C.windows(hashes[begin:end] ^ np.uint64(length), length))
         else:
             sets.append(np.zeros(0, np.uint64))
         begin = end
@@ -80,21 +98,20 @@ def document_sets(docs: DataFrame, scratch: Scratch, settings: Settings) -> Data
     chunks, buckets = C.write_chunks(docs.select("doc_id", "text"), scratch, settings.layout)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def count(table: pa.Table, hashes: WordHashes) -> Iterator[tuple[int, bytes, bytes]]:
-        sets = shingle_sets(text_bytes(table["text"]), settings.words, hashes)
+    def count(table: pa.Table, _: WordHashes) -> Iterator[tuple[int, bytes, bytes]]:
+        sets = shingle_sets(table["text"].combine_chunks(), settings.words)
         distinct, counts = np.unique(np.concatenate(sets), return_counts=True)
-        for bucket, index in C.Dealt(distinct, buckets):
-            yield bucket, C.narrow(distinct[index]), C.packed(counts[index].astype(np.uint32))
+        return C.Dealt(distinct, buckets).rows(distinct, counts.astype(np.uint32))
 
     def add(keys: list[bytes], extra: list[bytes]) -> list[bytes]:
-        parts = [C.widened(x) for x in keys]
-        distinct, places = np.unique(np.concatenate(parts), return_inverse=True)
+        distinct, places = np.unique(C.widened(b"".join(keys)), return_inverse=True)
         counts = np.bincount(places, weights=np.concatenate([C.unpacked(x, np.uint32) for x in extra]), minlength=len(distinct))
         classes = _frequency_class(counts)[places]
-        return [C.packed(x) for x in np.split(classes, np.cumsum([len(x) for x in parts])[:-1])]
+        ends = np.cumsum([len(x) // C.NARROW for x in keys]).tolist()
+        return [C.packed(classes[begin:end]) for begin, end in zip([0, *ends], ends)]
 
     def select(_: int, table: pa.Table, replies: pa.Table, hashes: WordHashes) -> pa.Table:
-        sets = shingle_sets(text_bytes(table["text"]), settings.words, hashes)
+        sets = shingle_sets(table["text"].combine_chunks(), settings.words)
         distinct, places = np.unique(np.concatenate(sets), return_inverse=True)
         classes = C.Dealt(distinct, buckets).gathered(replies, np.uint8, len(distinct))[places]
         keys: list[bytes | None] = []
@@ -159,33 +176,51 @@ def _clusters(sets: DataFrame, scratch: Scratch, settings: Settings) -> DataFram
 
 
 class Forest:
-    """Components of numbered sets, as far as known."""
+    """Components of numbered sets, as far as known: ``label`` has each set's."""
 
     def __init__(self, labels: list[int]) -> None:
-        self.parent = list(range(len(labels)))
-        first: dict[int, int] = {}
+        self.label = np.array(labels, np.int64)
+        self.members: dict[int, list[int]] = {}
         for i, label in enumerate(labels):
-            self.parent[i] = first.setdefault(label, i)
+            self.members.setdefault(label, []).append(i)
 
-    def find(self, i: int) -> int:
-        parent = self.parent
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        self.parent[self.find(i)] = self.find(j)
+    def join(self, i: int, j: int) -> bool:
+        """Whether the two sets were in different components until now."""
+        a, b = int(self.label[i]), int(self.label[j])
+        if a == b:
+            return False
+        if len(self.members[a]) < len(self.members[b]):
+            a, b = b, a
+        moved = self.members.pop(b)
+        self.label[moved] = a
+        self.members[a] += moved
+        return True
 
 
 class Node:
     """Sets first..last-1 of the sorted order, all of which go on with ``edge``."""
 
-    __slots__ = ("edge", "children", "first", "last", "shortest", "longest", "one")
+    __slots__ = ("edge", "first", "last", "children", "firsts", "lasts", "waiting", "shortest", "longest", "most", "one")
+
+    def __init__(self, edge: np.ndarray, first: int, last: int) -> None:
+        self.edge, self.first, self.last, self.children = edge, first, last, []
 
-    def __init__(self, edge: np.ndarray, first: int, last: int, sizes: np.ndarray) -> None:
-        self.edge, self.first, self.last, self.children, self.one = edge, first, last, [], last - first == 1
-        self.shortest, self.longest = int(sizes[first:last].min()), int(sizes[first:last].max())
+    def close(self, sizes: np.ndarray, common: np.ndarray) -> None:
+        """What is known of the children: their sets, those that did not walk yet, sizes, most common shingles of a set, and whether all are one component."""
+        self.firsts, self.lasts = np.array([x.first for x in self.children]), np.array([x.last for x in self.children])
+        at = self.firsts - self.first
+        self.waiting, below = self.lasts - self.firsts, slice(self.first, self.last)
+        self.shortest, self.longest = np.minimum.reduceat(sizes[below], at), np.maximum.reduceat(sizes[below], at)
+        self.most = np.maximum.reduceat(common[below], at)
+        self.one = np.array([not x.children for x in self.children])
+
+    def walked(self, i: int) -> None:
+        """A set below has met all others."""
+        node = self
+        while node.children:
+            place = int(np.searchsorted(node.firsts, i, side="right")) - 1
+            node.waiting[place] -= 1
+            node = node.children[place]
 
 
 def _shared(a: np.ndarray, b: np.ndarray, start: int) -> int:
@@ -194,17 +229,42 @@ def _shared(a: np.ndarray, b: np.ndarray, start: int) -> int:
     return start + int(differ[0]) if len(differ) else n
 
 
-def build(sets: list[np.ndarray]) -> Node:
+class Shared:
+    """The shingles that several sets have, each with its sets."""
+
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray) -> None:
+        flat = np.concatenate(sets)
+        order = np.argsort(flat)
+        flat = flat[order]
+        several = np.zeros(len(flat), bool)
+        several[1:] = flat[1:] == flat[:-1]
+        several[:-1] |= several[1:]
+        self.sizes, self.shingles = sizes, flat[several]
+        self.sets = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[order[several]]
+        #: Of each set, how many it has; no overlap is larger.
+        self.common = np.bincount(self.sets, minlength=len(sets))
+
+    def linked_before(self, own: np.ndarray, percent: int) -> np.ndarray:
+        """How many sets that link with one come before each place of the sorted order."""
+        begins = np.searchsorted(self.shingles, own)
+        lengths = np.searchsorted(self.shingles, own, side="right") - begins
+        places = np.repeat(begins - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        overlaps = np.bincount(self.sets[places], minlength=len(self.sizes))
+        linked = (100 + percent) * overlaps >= percent * (len(own) + self.sizes)
+        return np.concatenate([[0], np.cumsum(linked)])
+
+
+def build(sets: list[np.ndarray], sizes: np.ndarray, common: np.ndarray) -> Node:
     """The tree of lexicographically sorted distinct sets."""
-    sizes = np.array([len(x) for x in sets])
-    root = Node(sets[0][:0], 0, len(sets), sizes)
-    work = [(root, 0)]
+    root = Node(sets[0][:0], 0, len(sets))
+    work, inner = [(root, 0)], []
     while work:
         node, depth = work.pop()
+        inner.append(node)
         at = node.first
         while at < node.last:
             if len(sets[at]) == depth:  # ends here
-                node.children.append(Node(sets[at][:0], at, at + 1, sizes))
+                node.children.append(Node(sets[at][:0], at, at + 1))
                 at += 1
                 continue
             token, low, high = sets[at][depth], at + 1, node.last
@@ -215,57 +275,69 @@ def build(sets: list[np.ndarray]) -> Node:
                 else:
                     high = middle
             end = len(sets[at]) if low - at == 1 else _shared(sets[at], sets[low - 1], depth)
-            child = Node(sets[at][depth:end], at, low, sizes)
+            child = Node(sets[at][depth:end], at, low)
             node.children.append(child)
             if low - at > 1:
                 work.append((child, end))
             at = low
+    for node in inner:
+        node.close(sizes, common)
     return root
 
 
+#: With more children to look at, all overlaps are counted at once.
+_MANY = 16
+
+
 def tree_join(sets: list[np.ndarray], labels: list[int], percent: int) -> list[tuple[int, int]]:
-    """Links that together join all linked sets not yet in one component; sets are sorted and distinct."""
-    root, forest, links = build(sets), Forest(labels), []
-    over = 100 + percent
-
-    def one(node: Node) -> bool:
-        """Whether the sets below are known to be one component."""
-        if not node.one:
-            if any(not x.one for x in node.children):
-                return False
-            roots = {forest.find(x.first) for x in node.children}
-            node.one = len(roots) == 1
-        return node.one
-
-    for i, own in enumerate(sets):
-        n = len(own)
+    """Links that together join all linked sets not yet in one component; sets are sorted and distinct.
+
+    Sets with the fewest shingles of their own walk first: they are the middle of a cluster
+    of copies, so that the others find themselves in their component already.  The children
+    of a node are looked at together, one by one only those that may hold a link.
+    """
+    sizes = np.array([len(x) for x in sets])
+    shared = Shared(sets, sizes)
+    root, forest, links = build(sets, sizes, shared.common), Forest(labels), []
+    over, label = 100 + percent, forest.label
+
+    for i in np.argsort(sizes - shared.common, kind="stable").tolist():
+        own, n, most = sets[i], int(sizes[i]), int(shared.common[i])
+        root.walked(i)
         work = [(root, 0, 0)]
-        visited = []
+        visited, before = [], None
         while work:
-            node, common, depth = work.pop()
-            if node.last <= i + 1 or 100 * node.longest < percent * n or percent * node.shortest > 100 * n:
-                continue
-            if one(node) and forest.find(node.first) == forest.find(i):
-                continue
-            edge = node.edge
-            if len(edge):
-                places = np.searchsorted(own, edge)
-                common += int(np.count_nonzero(own[np.minimum(places, n - 1)] == edge))
-                depth += len(edge)
-                ahead = n - int(np.searchsorted(own, edge[-1], side="right"))
-                if over * (common + ahead) < percent * (n + node.shortest):
-                    continue
-                if over * (common + node.longest - depth) < percent * (n + node.longest):
+            node, so_far, start = work.pop()
+            may = (100 * node.longest >= percent * n) & (percent * node.shortest <= 100 * n)
+            may &= over * np.minimum(node.most, most) >= percent * (n + node.shortest)
+            may &= ~(node.one & (label[node.firsts] == label[i])) & (node.waiting > 0)
+            places = np.flatnonzero(may)
+            if len(places) > _MANY and before is None:
+                before = shared.linked_before(own, percent)
+            if before is not None:
+                places = places[before[node.lasts[places]] > before[node.firsts[places]]]
+            for place in places.tolist():
+                child = node.children[place]
+                if node.one[place] and label[child.first] == label[i]:
                     continue
-            if node.children:
-                visited.append(node)
-                work += [(x, common, depth) for x in reversed(node.children)]
-            elif node.first > i and over * common >= percent * (n + len(sets[node.first])):
-                if forest.find(i) != forest.find(node.first):
-                    links.append((i, node.first))
-                    forest.join(i, node.first)
-        for node in reversed(visited):
-            one(node)
+                shortest, longest, overlap, depth = int(node.shortest[place]), int(node.longest[place]), so_far, start
+                edge = child.edge
+                if len(edge):
+                    at = np.searchsorted(own, edge)
+                    overlap += int(np.count_nonzero(own[np.minimum(at, n - 1)] == edge))
+                    depth += len(edge)
+                    ahead = n - int(np.searchsorted(own, edge[-1], side="right"))
+                    if over * (overlap + ahead) < percent * (n + shortest):
+                        continue
+                    if over * (overlap + longest - depth) < percent * (n + longest):
+                        continue
+                if child.children:
+                    visited.append((node, place, child))
+                    work.append((child, overlap, depth))
+                elif over * overlap >= percent * (n + shortest) and forest.join(i, child.first):
+                    links.append((i, child.first))
+        for node, place, child in reversed(visited):
+            node.one[place] = child.one.all() and (label[child.firsts] == label[child.first]).all()
     return links
 
 
