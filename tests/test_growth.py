@@ -1,13 +1,16 @@
 """What is done once, in place or in pieces, so that it grows no faster than its input."""
 
 import re
+import uuid
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from matchlake import schemas
 from matchlake.operators import page_tables
 from matchlake.plans import jobs
 from matchlake.plans.incremental_gold import GoldState
+from matchlake.session import CLEANUP
 from matchlake.sinks import writers
 from matchlake.sources import scans
 from matchlake.workloads import fixtures as fx
@@ -78,6 +81,35 @@ def test_silver_rows_that_come_by_season_stay_where_they_are(spark, tmp_path):
     assert len(list(Path(path).rglob("*.parquet"))) == 3
 
 
+def _games(spark, *rows):
+    """Football games of (id, home team, season)."""
+    given = spark.createDataFrame(rows, "game_id string, home_team string, season string")
+    known = {"away_team": F.lit("B"), "home_score": F.lit(3), "away_score": F.lit(1)}
+    columns = [F.col(f.name) if f.name in given.columns else known.get(f.name, F.lit(None)) for f in schemas.bronze("football/games")]
+    return given.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, schemas.bronze("football/games"), strict=True)])
+
+
+def test_refined_rows_are_not_kept_twice(spark, tmp_path, monkeypatch):
+    schema = f"once_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{tmp_path}/{schema}'")
+    lake = jobs.Lake("", f"{tmp_path}/bronze", f"{tmp_path}/silver", schema, quarantine=f"{tmp_path}/aside")
+    moved, write = [], writers.write_silver
+    monkeypatch.setattr(jobs.writers, "write_silver", lambda *given, **more: moved.append((not more["arranged"], spark.conf.get(CLEANUP))) or write(*given, **more))
+    before = spark.conf.get(CLEANUP)
+    for rows, rejected in (([("1", "A", "2024"), ("2", None, "2024")], ["2"]), ([("1", "A", "2024"), ("3", "A", "2024")], []), ([("1", "A", "2023"), ("4", None, "2023")], ["4"])):
+        writers.write_snapshot(_games(spark, *rows), lake.bronze, "football", "games", "2024-01-01", one_folder=True)
+        (outcome,) = jobs.refine(spark, lake)
+        assert outcome.rejected == len(rejected)
+        aside = spark.read.parquet(f"{tmp_path}/aside/football/games")
+        assert [r["game_id"] for r in aside.collect()] == rejected and "reasons" in aside.columns
+    # rows of one season stay in place, those of two are moved; shuffle files go with the query that made them
+    assert moved == [(False, "true"), (False, "true"), (True, "true")] and spark.conf.get(CLEANUP) == before
+    assert sorted(r["game_id"] for r in spark.table(f"{schema}.nfl_games").collect()) == ["1", "3"]
+    lake.bronze = f"{tmp_path}/none"
+    writers.write_dataset(_games(spark).withColumn("date", F.lit("2024-01-01")), f"{lake.bronze}/football/games")
+    assert [o.rows for o in jobs.refine(spark, lake)] == [0]
+
+
 def test_landed_lines_are_compressed(spark):
     files = sq._landing_json(spark, "/root/testdata/sf0.001").inputFiles()
     assert files and all(name.endswith(".json.gz") for name in files)
