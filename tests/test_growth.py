@@ -1,13 +1,15 @@
 """What is done once, in place or in pieces, so that it grows no faster than its input."""
 
+import random
 import re
+import time
 import uuid
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from matchlake import schemas
-from matchlake.operators import page_tables
+from matchlake.operators import bronze, page_tables
 from matchlake.plans import jobs
 from matchlake.plans.incremental_gold import GoldState
 from matchlake.session import CLEANUP
@@ -121,3 +123,44 @@ def test_pages_are_read_in_pieces(spark):
     pages = spark.range(n).coalesce(1).withColumn("html", html)
     rows = page_tables.columns_of(page_tables.table_rows(pages, "t"), ["id"], "a").collect()
     assert sorted((row["id"], row["a"]) for row in rows) == [(i, str(i)) for i in range(n) if i % 9]
+
+
+_BITS = ["<table>", '<table id="t">', "<TABLE ID='x'>", "</table>", "</TABLE>", "</table >", "<tr>", '<tr class="spacer x">', "</tr>", "<td>", '<td a="b>c">', "</td>", '<th scope="row" >', "</th>", "<thead>", "</thead>", "<tbody>", "</tbody>", '<a href="/m?a&amp;b" href="z">', "<a>", "</a>", "<br />", "<!-- ", "-->", "<script>", "</script>", " x ", "&amp;", "1 < 2", "a<b", "<td", '<td a="', '<td a="b"c="d">', '<td a="</table>">', "<td/>"]
+
+
+def test_plain_tables_are_read_like_others(monkeypatch):
+    """Tags cut apart at once give what reading them one by one gives."""
+    draw, pages = random.Random(6), []
+    for _ in range(4000):
+        body = "".join(draw.choices(_BITS, k=draw.randint(1, 25)))
+        pages.append(draw.choice(["", '<table id="q"><thead><tr><th>a</th><th>a</th></tr></thead>']) + body + draw.choice(["", "</table>", "</table><table><tr><td>2</table>"]))
+    plain = '<table id="q"><tr class="r"><td>a &amp; b</td><td></td></tr><tr><td><a href="/x">y</a></td></tr></table>'
+    found = [page_tables._tables_of(page) for page in [*pages, plain]]
+    assert page_tables._arrow(found).type.to_pandas_dtype() and page_tables._arrow([[], *found]).to_pylist()[0] == []
+    tags = []
+    monkeypatch.setattr(page_tables, "_start_tag", lambda *given, start=page_tables._start_tag: tags.append(given[1]) or start(*given))
+    assert page_tables._tables_of(plain) == found[-1] and tags == ["table"]
+    monkeypatch.setattr(page_tables, "_read_plain", lambda *given: None)
+    assert [page_tables._tables_of(page) for page in [*pages, plain]] == found
+    assert page_tables._arrow(found[-1:]).to_pylist() == [[{"table_id": "q", "in_comment": False, "headers": ["a & b"], "grid": [["y"]], "links": [{"href": "/x", "text": "y"}]}]]
+
+
+def test_odd_pages_take_linear_time():
+    def seconds(piece, n):
+        start = time.perf_counter()
+        page_tables._tables_of("<table id=x><tr><th>a</th></tr>" + piece * n + "</table>")
+        return time.perf_counter() - start
+
+    for piece in ("</TABLE><table>x", "</table ><table>x", '<td a="', "<td   ", '<td a="b', "<!-- </table> --><tr>", "</tablex>"):
+        assert seconds(piece, 32_000) < 0.2 + 20 * seconds(piece, 4_000)
+
+
+def test_cells_are_read_once(spark):
+    """The filters on a match see its date and score as columns, not as expressions over the page's table."""
+    html = F.lit('<table id="sched_all"><tr><th>Date<th>Home<th>Score<th>Away<tr><td>2024-01-02<td>A<td>2\u20131<td>B<tr><td>x<td>A<td>2\u20131<td>B</table><table id="o"></table>')
+    pages = spark.range(3).select(F.col("id").alias("page_id"), F.when(F.col("id") != 1, html).otherwise("<table></table>").alias("html"))
+    rows = page_tables.columns_of(page_tables.table_rows(pages, "none", "sched_all"), ["page_id"], "Date", "Home", "Score", "Away")
+    matches = bronze.soccer_matches(rows, "2024", F.lit("L"))
+    filters = [line for line in matches._jdf.queryExecution().optimizedPlan().toString().splitlines() if re.search(r"\bFilter\b", line)]
+    assert filters and not any("array_position" in line or "filter(" in line or "lambda" in line for line in filters)
+    assert [(str(r["match_date"])[:10], r["home_team"], r["home_goals"]) for r in matches.collect()] == [("2024-01-02", "A", 2.0)] * 2
